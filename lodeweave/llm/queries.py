@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodeweave.llm.jaccard_join import jaccard_join
 from lodeweave.llm.line_dedup import line_dedup
 from lodeweave.session import table
 
@@ -18,6 +19,12 @@ def _op(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession,
     return f
 
 
+@_op
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents whose sets of word n-grams reach the threshold."""
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 @_op
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
