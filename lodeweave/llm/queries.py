@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodeweave.llm.jaccard_join import jaccard_join
 from lodeweave.llm.line_dedup import line_dedup
+from lodeweave.llm.pieces import encode
 from lodeweave.session import table
 
+#: Where the public tokenizers' files are, on every machine.
+TOKENIZERS = "/opt/tokenizers"
 _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -19,6 +22,13 @@ def _op(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession,
     return f
 
 
+@_op
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and whether decoding gives its text again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select("doc_id", "token_ids", "n_tokens", "round_trip")
+
+
 @_op
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents whose sets of word n-grams reach the threshold."""
