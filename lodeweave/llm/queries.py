@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodeweave.llm.jaccard_join import jaccard_join
 from lodeweave.llm.line_dedup import line_dedup
 from lodeweave.llm.pieces import encode
+from lodeweave.llm.token_counts import token_counts
 from lodeweave.session import table
 
 #: Where the public tokenizers' files are, on every machine.
@@ -35,6 +36,13 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+@_op
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return token_counts(docs, f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
+
+
 @_op
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
