@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodeweave.llm.jaccard_join import jaccard_join
+from lodeweave.llm.langid import identify
 from lodeweave.llm.line_dedup import line_dedup
 from lodeweave.llm.pieces import encode
 from lodeweave.llm.token_counts import token_counts
@@ -23,6 +24,12 @@ def _op(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession,
     return f
 
 
+@_op
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document by its text, and whether it is accepted."""
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).select("doc_id", "lang", "lang_id", "lang_entropy", "lang_ok")
+
+
 @_op
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding gives its text again."""
