@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodeweave.llm.jaccard_join import jaccard_join
 from lodeweave.llm.langid import identify
 from lodeweave.llm.line_dedup import line_dedup
+from lodeweave.llm.mixing import copies
 from lodeweave.llm.pieces import encode
 from lodeweave.llm.token_counts import token_counts
 from lodeweave.session import table
@@ -43,6 +44,12 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+@_op
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document occurs in a mixture of the sources by their weights."""
+    return copies(table(spark, sf_dir, "documents"))
+
+
 @_op
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of tokens of each document."""
