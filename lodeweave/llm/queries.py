@@ -12,6 +12,7 @@ from lodeweave.llm.line_dedup import line_dedup
 from lodeweave.llm.mixing import copies
 from lodeweave.llm.pieces import encode
 from lodeweave.llm.token_counts import token_counts
+from lodeweave.llm.warc import round_trip
 from lodeweave.session import table
 
 #: Where the public tokenizers' files are, on every machine.
@@ -50,6 +51,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies(table(spark, sf_dir, "documents"))
 
 
+@_op
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC files and read back, with their digests verified."""
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "url", "html", "n_bytes", "digest_ok", "error")
+
+
+_SQL["op5_warc"] = """
+SELECT page_id, url, html, CAST(strlen(html) AS BIGINT) AS n_bytes, TRUE AS digest_ok, CAST(NULL AS VARCHAR) AS error FROM pages
+"""
+
+
 @_op
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of tokens of each document."""
