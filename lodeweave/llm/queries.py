@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodeweave.llm.jaccard_join import jaccard_join
 from lodeweave.llm.langid import identify
 from lodeweave.llm.line_dedup import line_dedup
+from lodeweave.llm.media import image_hashes, rendered
 from lodeweave.llm.mixing import copies
 from lodeweave.llm.pieces import encode
 from lodeweave.llm.token_counts import token_counts
@@ -62,6 +63,12 @@ SELECT page_id, url, html, CAST(strlen(html) AS BIGINT) AS n_bytes, TRUE AS dige
 """
 
 
+@_op
+def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as PNG pictures in a binary column, decoded and hashed."""
+    return image_hashes(rendered(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))).select("vec_id", "png", "width", "height", "phash", "image_error")
+
+
 @_op
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of tokens of each document."""
