@@ -11,6 +11,7 @@ from lodeweave.llm.langid import identify
 from lodeweave.llm.line_dedup import line_dedup
 from lodeweave.llm.media import image_hashes, rendered
 from lodeweave.llm.mixing import copies
+from lodeweave.llm.outliers import outliers
 from lodeweave.llm.pieces import encode
 from lodeweave.llm.token_counts import token_counts
 from lodeweave.llm.warc import round_trip
@@ -76,6 +77,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
 
 
+@_op
+def op8_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's robust distance from its language and source, and whether it is accepted."""
+    return outliers(table(spark, sf_dir, "documents"))
+
+
 @_op
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
