@@ -4,10 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from lodeweave.llm.common import written
+from lodeweave.llm.jaccard_join import near_duplicates_dropped
+from lodeweave.llm.langid import known_languages
+from lodeweave.llm.line_dedup import line_dedup
+from lodeweave.llm.mixing import mixed
+from lodeweave.llm.pieces import encode
+from lodeweave.llm.queries import PIECE_MODEL
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents that it rejects go."""
+    return known_languages(docs.select(*COLUMNS))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: later copies of repeated line runs go from the texts, and a document goes if nothing is left of it."""
+    return line_dedup(docs).where("lines_deleted = 0 or text <> ''").selectExpr("doc_id", "text", "lang", "source", "if(lines_deleted > 0, cast(length(text) as bigint), n_chars) as n_chars")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: one document of each group of near duplicates stays."""
+    return near_duplicates_dropped(docs).select(*COLUMNS)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: each document as often as its source's weight asks for, once at least."""
+    return mixed(docs).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece: token ids beside the texts that they decode to."""
+    return encode(docs.select(*COLUMNS), PIECE_MODEL)
+
+
+STAGES = [("language ID", language), ("line dedup", lines), ("near duplicates", near_duplicates), ("mixture", mixture), ("tokens", tokens)]
+
+#: No SQL can express the models, the candidate search and the rounding; tests/llm/test_pipeline.py has the brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply the stages to documents; a null text goes with the first."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs, f"stage-{k}")
+    return docs

@@ -19,6 +19,7 @@ from lodeweave.session import table
 
 #: Where the public tokenizers' files are, on every machine.
 TOKENIZERS = "/opt/tokenizers"
+PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 _ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -38,7 +39,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding gives its text again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select("doc_id", "token_ids", "n_tokens", "round_trip")
+    return encode(docs, PIECE_MODEL).select("doc_id", "token_ids", "n_tokens", "round_trip")
 
 
 @_op
