@@ -13,6 +13,7 @@ from lodeweave.llm.media import image_hashes, rendered
 from lodeweave.llm.mixing import copies
 from lodeweave.llm.outliers import outliers
 from lodeweave.llm.pieces import encode
+from lodeweave.llm.pii import redact
 from lodeweave.llm.token_counts import token_counts
 from lodeweave.llm.warc import round_trip
 from lodeweave.session import table
@@ -90,6 +91,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_deleted")
 
 
+@_op
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with personal data and secrets redacted, and where they were."""
+    return redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query by name."""
     return dict(_ALL)
