@@ -40,6 +40,8 @@ def _composed(text: str) -> str:
 def composed(text: pa.Array) -> pa.Array:
     """HTML entities decoded once, then NFKC; null for null."""
     plain = pc.and_(pc.string_is_ascii(text), pc.invert(pc.match_substring(text, "&")))
+    if isinstance(text, pa.ChunkedArray):
+        text, plain = text.combine_chunks(), plain.combine_chunks()
     if pc.all(pc.fill_null(plain, True)).as_py():
         return text
     values = [t if p or t is None else _composed(t) for t, p in zip(text.to_pylist(), plain.to_pylist())]

@@ -107,8 +107,8 @@ def nested(attempts: DataFrame) -> DataFrame:
 
 def flat(records: DataFrame) -> DataFrame:
     """Attempt rows of records with nested arrays."""
-    each = F.concat(*[F.transform(F.col(f"attempts.{s}"), lambda a, s=s: F.struct(F.lit(s).alias("language"), a.alias("a"))) for s in LANGUAGES])
-    return records.select("pair_id", F.explode(each).alias("x")).select("pair_id", "x.language", "x.a.*")
+    by = F.map_from_arrays(F.array(*map(F.lit, LANGUAGES)), F.array(*[F.col(f"attempts.{s}") for s in LANGUAGES]))
+    return records.select("pair_id", F.explode(by).alias("language", "own")).select("pair_id", "language", F.explode("own").alias("a")).select("pair_id", "language", "a.*")
 
 
 def finalized(records: DataFrame, constants: dict[str, str] | None = None) -> DataFrame:
