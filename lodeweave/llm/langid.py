@@ -26,8 +26,8 @@ from pyspark.sql.window import Window as W
 
 ORDER = 5
 #: Bounds of the labelled sample, for each language: characters and documents to fit on, and to calibrate with.
-TRAIN_CHARS, TRAIN_DOCS = 3_000_000, 4000
-HELD_CHARS, HELD_DOCS = 1_500_000, 1500
+TRAIN_CHARS, TRAIN_DOCS = 1_500_000, 4000
+HELD_CHARS, HELD_DOCS = 750_000, 1500
 #: Fewest calibration documents; a language with fewer rejects nothing. Standard deviations that a short text may be off.
 LEAST, DEVIATIONS = 30, 4.0
 _SPACE, _OTHER = 1, 2
@@ -82,8 +82,15 @@ class Alphabet:
 
     def __init__(self, texts: list[str]) -> None:
         counts = np.zeros(0x110000, np.int64)
-        for t in texts:
-            counts += np.bincount(np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32), minlength=len(counts)) if t else 0
+        held: list[str] = []
+        size = 0
+        for t in [*texts, None]:
+            if t is not None:
+                held.append(t.lower())
+                size += len(held[-1])
+            if held and (t is None or size >= _CHUNK):
+                counts += np.bincount(np.frombuffer("".join(held).encode("utf-32-le", "surrogatepass"), np.uint32), minlength=len(counts))
+                held, size = [], 0
         letters = sorted((c for c in np.flatnonzero(counts) if chr(c).isalpha()), key=lambda c: (-counts[c], c))[:250]
         self.table = np.full(0x110000, _SPACE, np.uint8)
         known = {chr(c): k + 3 for k, c in enumerate(letters)}
