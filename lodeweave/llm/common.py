@@ -51,6 +51,17 @@ def scratch(spark: SparkSession, what: str) -> str:
     return path
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it again."""
     path = scratch(df.sparkSession, what)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lodeweave.llm.common import written
+from lodeweave.llm.common import fresh, written
 from lodeweave.llm.components import components
 
 NGRAM = 3
@@ -345,5 +345,6 @@ def near_duplicates_dropped(docs: DataFrame, threshold: float = THRESHOLD) -> Da
     All columns pass through. Rows that join nothing, null and blank ones included, stay.
     """
     pairs = written(jaccard_join(docs, threshold).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), "join-result")
-    gone = components(pairs).where("id > comp").select(F.col("id").alias("__id"))
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    (name,) = fresh(docs, "__id")
+    gone = components(pairs).where("id > comp").select(F.col("id").alias(name))
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

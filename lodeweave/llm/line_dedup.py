@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from lodeweave.llm.common import written
+from lodeweave.llm.common import fresh, written
 
 MIN_WORDS = 50
 #: Ranges of the hash space in which the first ranks are counted; fixed, whatever the input.
@@ -185,9 +185,10 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     pass through; an input column ``lines_deleted`` is replaced. An empty table gives an empty table.
     """
     kept = [c for c in docs.columns if c != "lines_deleted"]
-    masks = deletion_masks(docs, min_words).select(F.col("id").alias("__id"), F.col("mask").alias("__mask"))
-    both = docs.select(*kept).join(masks, F.col("doc_id") == F.col("__id"), "left")
-    rest = F.filter(F.split(F.col("text"), "\n"), lambda x, i: ~F.coalesce(F.get(F.col("__mask"), i), F.lit(False)))
-    text = F.when(F.col("__mask").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    lost = F.when(F.col("__mask").isNull() | F.col("text").isNull(), 0).otherwise(F.size(F.filter("__mask", lambda x: x)))
+    id_, mask = fresh(docs, "__id", "__mask")
+    masks = deletion_masks(docs, min_words).select(F.col("id").alias(id_), F.col("mask").alias(mask))
+    both = docs.select(*kept).join(masks, F.col("doc_id") == F.col(id_), "left")
+    rest = F.filter(F.split(F.col("text"), "\n"), lambda x, i: ~F.coalesce(F.get(F.col(mask), i), F.lit(False)))
+    text = F.when(F.col(mask).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    lost = F.when(F.col(mask).isNull() | F.col("text").isNull(), 0).otherwise(F.size(F.filter(mask, lambda x: x)))
     return both.select(*[text.alias("text") if c == "text" else F.col(c) for c in kept], lost.cast("int").alias("lines_deleted"))

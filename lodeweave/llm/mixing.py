@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lodeweave.llm.common import written
+from lodeweave.llm.common import fresh, written
 
 #: A source's weight in the mixture is its size to this power, so small sources gain.
 POWER = 0.7
@@ -168,7 +168,8 @@ def copies(docs: DataFrame, weights: DataFrame | None = None, budget: float | No
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None) -> DataFrame:
     """The documents, each as often as ``copies`` says, with all their columns. Repeated rows are repeated alike."""
-    n = copies(docs, weights, budget).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "copies").where("copies > 0").withColumnRenamed("copies", "__copies")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source"))
+    id_, source, times = fresh(docs, "__id", "__source", "__copies")
+    n = copies(docs, weights, budget).where("copies > 0").select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("copies").alias(times))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & F.col("source").cast("string").eqNullSafe(F.col(source))
     each = docs.join(n.hint("shuffle_hash"), same)
-    return each.withColumn("__copies", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
+    return each.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times)))).select(*docs.columns)

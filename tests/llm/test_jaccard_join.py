@@ -59,7 +59,7 @@ def test_large_group(spark):
 def test_edges(spark):
     long = " ".join(str(i) for i in range(60000))
     rows = [(1, None, "a"), (None, "x y z w", "a"), (2, "", "a"), (3, " \n", "a"), (4, long, "a"), (5, long + " tail", "b"), (6, "one two", "c"), (7, "One  two", "d"), (8, "x y z w", "e"), (8, "x y z w", "e")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, __id string")
     got = {(r.doc_a, r.doc_b) for r in jaccard_join(df).collect()}
     assert got == {(4, 5), (6, 7)}
     assert sorted(r.doc_id or 0 for r in near_duplicates_dropped(df).collect()) == [0, 1, 2, 3, 4, 6, 8, 8]

@@ -39,8 +39,8 @@ def test_against_brute_force(spark, seed):
 
 def test_edges(spark):
     long = "\n".join(f"line {i} of a very long text" for i in range(3000))
-    rows = [(1, None, 1), (None, "x y z\nx y z", 2), (2, "", 3), (3, "", 4), (4, long, 5), (5, long, 6), (6, "x y z", 7)]
-    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string, lines_deleted int"), 2)
+    rows = [(i, t, k, k) for k, (i, t) in enumerate([(1, None), (None, "x y z\nx y z"), (2, ""), (3, ""), (4, long), (5, long), (6, "x y z")])]
+    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string, lines_deleted int, __mask int"), 2)
     got = {r.doc_id: (r.text, r.lines_deleted) for r in out.collect()}
     assert got == {1: (None, 0), None: ("x y z\nx y z", 0), 2: ("", 0), 3: ("", 0), 4: (long, 0), 5: ("", 3000), 6: ("x y z", 0)}
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0

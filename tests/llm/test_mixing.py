@@ -47,7 +47,7 @@ def test_targets(spark, monkeypatch, leaf):
 
 
 def test_edges(spark):
-    schema = "doc_id long, text string, source string, copies int"
+    schema = "doc_id long, text string, source string, __copies int"
     rows = [(None, "ab", "a", 7), (1, None, "a", 7), (2, "", None, 7), (3, "x" * 300000, "b", 7), (4, "abc", "b", 7), (4, "abc", "b", 7)]
     docs = spark.createDataFrame(rows, schema)
     got = {(r.doc_id, r.source): r.copies for r in copies(docs).collect()}
