@@ -281,14 +281,15 @@ def _verified(threshold: float):
         by = ["comp", "bi", "bj"]
         for t in _groups(batches, by):
             starts = _starts(t, by)
-            ids, grams, partners = t.column("id").to_numpy(), t.column("grams").to_pylist(), t.column("partners").to_pylist()
+            ids = t.column("id").to_numpy()
             out_a, out_b, out_j = [], [], []
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                sets = [np.frombuffer(x, np.uint64) for x in grams[s:e]]
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("grams").slice(s, e - s)]
+                partners = t.column("partners").slice(s, e - s).to_pylist()
                 shared, n = intersections(sets), np.array([len(x) for x in sets])
                 place = {int(x): k for k, x in enumerate(ids[s:e])}
                 for k in range(e - s):
-                    to = np.array([place[x] for x in partners[s + k] or () if x in place], dtype=np.int64)
+                    to = np.array([place[x] for x in partners[k] or () if x in place], dtype=np.int64)
                     if len(to):
                         j = shared[k, to] / (n[k] + n[to] - shared[k, to])
                         ok = j >= threshold

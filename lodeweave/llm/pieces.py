@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Entries of each of the two generations of remembered parts, and of remembered pairs.
-CACHE = 300_000
+CACHE = 200_000
 _SLICE = 128
 #: Marks a part without white space before it; no text can hold it.
 _BARE = "\ud800"
@@ -168,7 +168,7 @@ class PieceModel:
     def tokens(self, text: str) -> list[str]:
         """The tokens of a part, by the table of last tokens; a character that is no piece is a token of its own."""
         last: list[str | None] = [None] * (len(text) + 1)
-        pairs, alone = self.pairs, self.alone
+        pairs, alone = self.pairs, self.alone  # compatible() empties pairs, it doesn't replace it
         for end, (t, size) in self.automaton.iter(text):  # of those that end at one place, the longest first
             if last[end + 1] is not None:
                 continue
@@ -244,6 +244,11 @@ class PieceModel:
                     found[k] = ids
         return b"".join(found)
 
+    def forget(self) -> None:
+        """Give up what is remembered of texts; a worker lives on between tasks, which may be other stages'."""
+        self.young, self.old, self.pairs = {}, {}, {}
+        pa.default_memory_pool().release_unused()
+
     def decoded(self, ids: list[int]) -> str:
         """The text of ids: pieces, runs of byte pieces as UTF-8 (U+FFFD for what is none), white space, the dummy prefix off."""
         text, kind = self.text, self.kind
@@ -278,6 +283,12 @@ def load(path: str) -> PieceModel:
 
 
 def _coded(path: str, column: int, names: list[str]):
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            load(path).forget()
+
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         for batch in batches:
@@ -296,7 +307,7 @@ def _coded(path: str, column: int, names: list[str]):
                 n = pa.array([None if m else b - a for m, a, b in zip(missing, ends, ends[1:])], pa.int32())
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, n, pa.array(back, pa.bool_())], names=names)
 
-    return f
+    return whole
 
 
 def encode(docs: DataFrame, model_file: str) -> DataFrame:
