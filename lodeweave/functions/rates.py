@@ -30,10 +30,14 @@ def words(text: Column) -> Column:
 def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     """Rows of more distinct words than ALPHABET has characters would be wrong, so they raise an error."""
     ref, hyp = words(reference), words(hypothesis)
-    known = F.array_distinct(F.concat(ref, hyp))
+    row = F.struct(ref.alias("r"), hyp.alias("h"), F.array_distinct(F.concat(ref, hyp)).alias("known"))
 
-    def coded(w: Column) -> Column:
-        return F.array_join(F.transform(w, lambda x: F.substr(F.lit(ALPHABET), F.array_position(known, x).cast("int"), F.lit(1))), "")
+    def rate(x: Column) -> Column:
+        def coded(w: Column) -> Column:
+            return F.array_join(F.transform(w, lambda y: F.substr(F.lit(ALPHABET), F.array_position(x["known"], y).cast("int"), F.lit(1))), "")
 
-    distance = F.when(F.size(known) <= len(ALPHABET), F.levenshtein(coded(ref), coded(hyp))).otherwise(F.raise_error(F.lit("too many distinct words")))
-    return _rate(F.when(reference.isNotNull() & hypothesis.isNotNull(), distance), F.size(ref))
+        distance = F.when(F.size(x["known"]) <= len(ALPHABET), F.levenshtein(coded(x["r"]), coded(x["h"]))).otherwise(F.raise_error(F.lit("too many distinct words")))
+        return _rate(distance, F.size(x["r"]))
+
+    # as the variable of a function over one element, the lists of words are made once a row and not once a word
+    return F.when(reference.isNotNull() & hypothesis.isNotNull(), F.get(F.transform(F.array(row), rate), F.lit(0)))

@@ -32,8 +32,9 @@ def ranked(rows: DataFrame, key: str = "fingerprint", order: list[Column] | None
 def first_copies(rows: DataFrame, key: str = "fingerprint", order: list[Column] | None = None) -> DataFrame:
     """Only the rows that stay. Spark cuts each partition to one row a key before the shuffle."""
     order = order or [phase(), split_order(), F.col("source_index"), F.col("pair_id")]
-    known = rows.where(F.col(key).isNotNull()).withColumn("copy", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("copy = 1").drop("copy")
-    return known.unionByName(rows.where(F.col(key).isNull()))
+    # a null key is replaced by one of the row's own
+    own = F.coalesce(F.col(key), F.concat(F.lit("\0"), F.col("pair_id").cast("string")))
+    return rows.withColumn("__copy", F.row_number().over(W.partitionBy(own).orderBy(*order))).where(F.col("__copy") == 1).drop("__copy")
 
 
 def accounting(rows: DataFrame) -> DataFrame:

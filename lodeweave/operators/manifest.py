@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from lodeweave.functions import ids
+from lodeweave.scratch import written
 
 REQUIRED = ("pair_id", "corpus", "split", "ja_text", "en_text")
 SAFE_ID = r"^[A-Za-z0-9_-]{1,96}\z"
@@ -47,7 +48,7 @@ def with_position(manifest: DataFrame, order: str = "selection_priority") -> Dat
     Not by one window over everything: rows are numbered in buckets of the hash-valued order, and counts of
     the buckets before are added, of which there are a bounded number for each split and corpus.
     """
-    df = manifest.withColumn("__split", split_place()).withColumn("__bucket", F.substring(order, 1, 3))
+    df = written(manifest, "manifest-rows").withColumn("__split", split_place()).withColumn("__bucket", F.substring(order, 1, 3))
     key = ["__split", "corpus", "__bucket"]
     counts = df.groupBy(*key).agg(F.count("*").alias("__n"))
     base = counts.select(*key, F.coalesce(F.sum("__n").over(W.orderBy(*key).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__base"))

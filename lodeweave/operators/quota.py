@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from lodeweave.scratch import written
+
 #: Hexadecimal digits of the order that make a bucket: 16 ** DIGITS buckets a group.
 DIGITS = 3
 
@@ -47,6 +49,7 @@ def selected(train: DataFrame, hours: dict[str, float], shares: dict[str, float]
     spark = train.sparkSession
     goals = spark.createDataFrame(targets_of(hours, shares), "__c string, __b string, __bin_goal double, __goal double")
     # a row for each corpus and bin of the configuration, whatever the input
+    train = written(train, "quota-rows")  # it is read several times
     df = train.join(F.broadcast(goals), (F.col("corpus") == F.col("__c")) & (F.col("length_bin") == F.col("__b")), "left").drop("__c", "__b")
     first = until(df, ["corpus", "length_bin"], F.col("__bin_goal"), seconds).withColumnRenamed("taken", "__first")
     got = first.groupBy("corpus").agg(F.coalesce(F.sum(F.when(F.col("__first"), F.col(seconds))), F.lit(0.0)).alias("__got")).withColumnRenamed("corpus", "__corpus")

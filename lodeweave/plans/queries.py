@@ -13,7 +13,8 @@ from lodeweave.functions import ids, rates
 from lodeweave.functions import text as X
 from lodeweave.operators import attempts, dedup, manifest, quota, release, rules, samples
 from lodeweave.plans.registry import query
-from lodeweave.session import table
+from lodeweave.scratch import written
+from lodeweave.session import spread, table
 
 SEED = 20260723
 SHARDS = 128
@@ -97,12 +98,12 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     left = c.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("ja_raw"))
     right = c.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("en_raw"))
-    return left.join(right, ["conv_id", "turn"]).withColumn("corpus", F.when(F.col("conv_id") % 2 == 0, "kftt").otherwise("jesc"))
+    return spread(left.join(right, ["conv_id", "turn"])).withColumn("corpus", F.when(F.col("conv_id") % 2 == 0, "kftt").otherwise("jesc"))
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as candidates with ids, priorities and bins."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     split = F.when(F.col("doc_id") % 10 == 0, "dev").when(F.col("doc_id") % 10 == 1, "test").otherwise("train")
     df = d.select("doc_id", F.col("doc_id").alias("source_index"), F.when(F.col("doc_id") % 3 == 0, "kftt").otherwise("jesc").alias("corpus"), split.alias("split"), X.normalized_plain(F.col("text")).alias("ja_norm"), F.col("lang").alias("en_norm"))
     df = df.select("*", X.script_units(F.col("ja_norm")).cast("long").alias("ja_chars"), X.latin_words(F.col("ja_norm")).cast("long").alias("en_words"), ids.fingerprint(F.col("ja_norm"), F.col("en_norm")).alias("fingerprint"))
@@ -110,13 +111,18 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("*", ids.priority(SEED, F.col("pair_id")).alias("priority"), ids.length_bin(F.col("ja_chars"), SHORT, MEDIUM).alias("length_bin"), ids.spoken_seconds(F.col("ja_chars"), PER_SECOND, PADDING).alias("estimated_ja_seconds"))
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for plans that read them more than once, written so that texts are normalised once."""
+    return written(_candidates(spark, sf_dir), "candidates")
+
+
 def _chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = dedup.first_copies(_candidates(spark, sf_dir)).where("split = 'train'")
     return quota.selected(train, HOURS, SHARES)
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = dedup.first_copies(_candidates(spark, sf_dir))
+    first = written(dedup.first_copies(_candidates(spark, sf_dir)), "first-copies")
     chosen = quota.selected(first.where("split = 'train'"), HOURS, SHARES)
     return manifest.kept(chosen.unionByName(first.where("split <> 'train'"), allowMissingColumns=True))
 
@@ -140,7 +146,7 @@ def _long(c: str | Column) -> Column:
 
 @query("normalize_text", f"SELECT doc_id, {_norm('text')} AS norm FROM documents")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", X.normalized_plain(F.col("text")).alias("norm"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", X.normalized_plain(F.col("text")).alias("norm"))
 
 
 def _entities(x: str) -> str:
@@ -152,7 +158,7 @@ def _entities(x: str) -> str:
 
 @query("nfkc_norm", f"SELECT page_id, {_norm(_entities('html'))} AS norm FROM pages")
 def nfkc_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", X.normalized(F.col("html")).alias("norm"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", X.normalized(F.col("html")).alias("norm"))
 
 
 @query("reject_reasons", f"WITH {_PAIRS}, r AS (SELECT *, {_reason(LATIN)} AS reason FROM counted) SELECT conv_id, turn, reason, CASE WHEN reason IN {_EARLY} THEN 0 ELSE n END AS ja_chars, CASE WHEN reason IN {_EARLY} THEN 0 ELSE w END AS en_words FROM r")
@@ -166,19 +172,19 @@ _LINE_ROWS = f"""lines AS (SELECT source AS corpus, unnest(string_split(text, ch
 
 @query("reject_histogram", f"WITH {_LINE_ROWS} SELECT corpus, reason, count(*) AS rows FROM r WHERE reason IS NOT NULL GROUP BY ALL")
 def reject_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select(F.col("source").alias("corpus"), F.explode(F.split("text", "\n")).alias("ja_raw")).withColumn("en_raw", F.col("ja_raw"))
+    lines = spread(table(spark, sf_dir, "documents").select("source", "text")).select(F.col("source").alias("corpus"), F.explode(F.split("text", "\n")).alias("ja_raw")).withColumn("en_raw", F.col("ja_raw"))
     return rules.histogram(rules.classified(lines, LINES), "corpus")
 
 
 @query("markup_url_flags", f"SELECT page_id, regexp_matches(html, {_MARKUP}) AS markup, regexp_matches(html, {_LINK}) AS link FROM pages")
 def markup_url_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", X.has_markup(F.col("html")).alias("markup"), X.has_link(F.col("html")).alias("link"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", X.has_markup(F.col("html")).alias("markup"), X.has_link(F.col("html")).alias("link"))
 
 
 @query("word_counts", f"SELECT doc_id, {_words('text')} AS words, {_units('text')} AS units, {_only('text', 'A-Za-z')} AS ascii_letters, {_only('text', chr(92) + 'p{L}')} AS letters FROM documents")
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", _long(X.latin_words(t)).alias("words"), _long(X.script_units(t)).alias("units"), _long(X.ascii_letters(t)).alias("ascii_letters"), _long(X.letters(t)).alias("letters"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", _long(X.latin_words(t)).alias("words"), _long(X.script_units(t)).alias("units"), _long(X.ascii_letters(t)).alias("ascii_letters"), _long(X.letters(t)).alias("letters"))
 
 
 @query("cer", "SELECT n_name, p_brand, CASE WHEN length(n_name) = 0 THEN 1 ELSE 1 END * levenshtein(n_name, p_brand)::DOUBLE / greatest(length(n_name), 1) AS cer FROM nation CROSS JOIN (SELECT DISTINCT p_brand FROM part)")
@@ -254,7 +260,7 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("eval_leak_guard", f"WITH {_RANKED}, e AS (SELECT DISTINCT fingerprint AS f FROM ranked WHERE split <> 'train') SELECT pair_id, copy FROM ranked JOIN e ON f = fingerprint WHERE split = 'train'")
 def eval_leak_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows that repeat an evaluation row: none of them has copy 1."""
-    rows = dedup.ranked(_candidates(spark, sf_dir))
+    rows = dedup.ranked(_stored(spark, sf_dir).select("corpus", "split", "source_index", "pair_id", "fingerprint"))
     seen = rows.where("split <> 'train'").select("fingerprint")
     return rows.where("split = 'train'").join(seen, "fingerprint", "left_semi").select("pair_id", _long("copy").alias("copy"))
 
@@ -281,7 +287,7 @@ def repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("quota_select", f"WITH {_SELECTED} SELECT pair_id, first_ AS taken FROM one")
 def quota_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each length bin up to its own target, without backfill."""
-    train = dedup.first_copies(_candidates(spark, sf_dir)).where("split = 'train'")
+    train = written(dedup.first_copies(_candidates(spark, sf_dir)).where("split = 'train'"), "train")
     goal = F.lit(None).cast("double")
     for c, b, seconds, _ in quota.targets_of(HOURS, SHARES):
         goal = F.when((F.col("corpus") == c) & (F.col("length_bin") == b), seconds).otherwise(goal)
@@ -343,7 +349,7 @@ _SLOTS = (("jesc", "short"), ("jesc", "medium"), ("jesc", "long"), ("kftt", "med
   SELECT pair_id, i::INTEGER AS smoke_selection_index FROM o WHERE i < 8""")
 def smoke_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight training documents for a trial: the first of each slot, then others; that number is the feature."""
-    rows = _candidates(spark, sf_dir).withColumns({"ja_text": F.col("ja_norm"), "en_text": F.col("ja_norm"), "manifest_pos": F.col("doc_id")})
+    rows = _stored(spark, sf_dir).withColumns({"ja_text": F.col("ja_norm"), "en_text": F.col("ja_norm"), "manifest_pos": F.col("doc_id")})
     return samples.trial(rows, 8, _SLOTS, latin=True).select("pair_id", "smoke_selection_index")
 
 

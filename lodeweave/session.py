@@ -23,3 +23,12 @@ def local_session(app: str = "lodeweave", cpus: str = "*", partitions: int = 8)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables of ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer tasks than there are cores, as with a small file of one row group.
+
+    A scan of as many tasks or more, and so any large table, is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
