@@ -16,7 +16,7 @@ from lodeweave.llm.pieces import encode
 from lodeweave.llm.pii import redact
 from lodeweave.llm.token_counts import token_counts
 from lodeweave.llm.warc import round_trip
-from lodeweave.session import table
+from lodeweave.session import spread, table
 
 #: Where the public tokenizers' files are, on every machine.
 TOKENIZERS = "/opt/tokenizers"
@@ -33,20 +33,20 @@ def _op(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession,
 @_op
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document by its text, and whether it is accepted."""
-    return identify(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).select("doc_id", "lang", "lang_id", "lang_entropy", "lang_ok")
+    return identify(spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))).select("doc_id", "lang", "lang_id", "lang_entropy", "lang_ok")
 
 
 @_op
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding gives its text again."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return encode(docs, PIECE_MODEL).select("doc_id", "token_ids", "n_tokens", "round_trip")
 
 
 @_op
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents whose sets of word n-grams reach the threshold."""
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 @_op
@@ -75,26 +75,26 @@ def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_op
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of tokens of each document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return token_counts(docs, f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
 
 
 @_op
 def op8_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's robust distance from its language and source, and whether it is accepted."""
-    return outliers(table(spark, sf_dir, "documents"))
+    return outliers(spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")))
 
 
 @_op
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
-    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_deleted")
+    return line_dedup(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "text", "lines_deleted")
 
 
 @_op
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with personal data and secrets redacted, and where they were."""
-    return redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return redact(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
