@@ -251,11 +251,12 @@ def judged(stats: DataFrame, of: DataFrame, params: DataFrame, quantile: float =
     df = stats.select(_group("lang", "source").alias("key"), F.struct(*rest).alias("row"), *_OWN)
     df = df.join(of, "key", "left").join(params, "grp", "left").select("row", "q_words", "m", "p", "v", *features())
     away = F.col(f"x{_D - 1}") - F.get("m", F.lit(_D - 1))
-    d = F.when(F.col("q_words") > 0, F.sqrt(F.greatest(F.lit(0.0), _quadratic() - away * away / F.col("v"))))
+    # columns of their own, so that each is worked out once
+    df = df.select("row", "q_words", "m", (_quadratic() - away * away / F.col("v")).alias("d2"))
     # greatest() skips nulls, so a group without estimates is told by its missing centre
-    d = F.when(F.col("m").isNotNull(), d)
-    ok = (F.col("q_words") > 0) & F.coalesce(d <= math.sqrt(chi2_quantile(quantile, _D - 1)), F.lit(True))
-    return df.select("row.*", d.alias("quality_distance"), ok.alias("quality_ok"))
+    df = df.select("row", "q_words", F.when((F.col("q_words") > 0) & F.col("m").isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.col("d2")))).alias("d"))
+    ok = (F.col("q_words") > 0) & F.coalesce(F.col("d") <= math.sqrt(chi2_quantile(quantile, _D - 1)), F.lit(True))
+    return df.select("row.*", F.col("d").alias("quality_distance"), ok.alias("quality_ok"))
 
 
 def outliers(docs: DataFrame, quantile: float = QUANTILE) -> DataFrame:
