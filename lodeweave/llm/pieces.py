@@ -17,7 +17,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, islice, pairwise
 
 import ahocorasick
 import numpy as np
@@ -244,9 +244,9 @@ class PieceModel:
                     found[k] = ids
         return b"".join(found)
 
-    def forget(self) -> None:
-        """Give up what is remembered of texts; a worker lives on between tasks, which may be other stages'."""
-        self.young, self.old, self.pairs = {}, {}, {}
+    def trim_caches(self) -> None:
+        """Keep one generation of what is remembered, the parts that came first, as frequent ones do; a worker lives on, maybe for other stages."""
+        self.young, self.old = dict(islice(chain(self.young.items(), self.old.items()), CACHE)), {}
         pa.default_memory_pool().release_unused()
 
     def decoded(self, ids: list[int]) -> str:
@@ -287,7 +287,7 @@ def _coded(path: str, column: int, names: list[str]):
         try:
             yield from f(batches)
         finally:
-            load(path).forget()
+            load(path).trim_caches()
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
