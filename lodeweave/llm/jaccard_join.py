@@ -1,7 +1,9 @@
 """N-gram Jaccard join: MinHash candidates, Bayesian pruning, exact verification.
 
 1. A pass over the texts gives each document its distinct word n-grams, hashed to 64 bits, a 128-bit hash of
-   that set and ``HASHES`` MinHash values. Documents of one set are copies; the smallest doc_id stands for all.
+   that set and ``HASHES`` MinHash values. Documents of one set are copies; the smallest doc_id stands for all
+   until the pairs are verified. full_join() then puts every copy in its place; for groups of near duplicates
+   the links of jaccard_join() are enough.
 2. Documents that agree on all values of a band meet in a bucket. A bucket of any size is cut into blocks of
    ``BLOCK`` documents, and each pair of blocks is a group of its own, so there is no cap on partners. A pair
    counts in the first band that it shares, so it comes up once.
@@ -323,21 +325,54 @@ def verified_pairs(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHO
     return met.select("comp", "bi", "bj", "id", "grams", "partners").mapInArrow(_verified(threshold), "doc_a bigint, doc_b bigint, jaccard double")
 
 
+def _collapsed(docs: DataFrame, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_a, id) of each document beside the smallest doc_id of its set, and the verified pairs of those smallest ones."""
+    sig = written(signatures(docs), "join-signatures")
+    reps = sig.groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig"))
+    reps = written(reps, "join-sets")
+    pairs = written(candidate_pairs(reps, threshold, tolerance), "join-pairs")
+    return sig.join(reps.select("same", F.col("id").alias("doc_a")), "same").select("doc_a", "id"), verified_pairs(docs, pairs, threshold)
+
+
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """(doc_a, doc_b, jaccard), doc_a < doc_b: pairs whose sets of word n-grams have a Jaccard index of at least ``threshold``.
+    """(doc_a, doc_b, jaccard), doc_a < doc_b: pairs whose sets of word n-grams have a Jaccard index of at least ``threshold``, copies collapsed.
 
     Documents with the same set are joined to the smallest doc_id among them, with 1.0, and only that one
-    takes part in the other pairs: the full join is what those links imply. Documents that are null, or have no
+    takes part in the other pairs: what those links imply is left to full_join(). Documents that are null, or have no
     words, and rows with a null doc_id join nothing. A text of fewer than three words has one n-gram, all its
     words. Rows that repeat a doc_id don't pair with themselves; doc_id should be unique. Extra columns are
     ignored. An empty table gives no pairs.
     """
-    sig = written(signatures(docs), "join-signatures")
-    reps = sig.groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig"))
-    reps = written(reps, "join-sets")
-    copies = sig.join(reps.select("same", F.col("id").alias("doc_a")), "same").where("id > doc_a").select("doc_a", F.col("id").alias("doc_b"), F.lit(1.0).alias("jaccard"))
-    pairs = written(candidate_pairs(reps, threshold, tolerance), "join-pairs")
-    return verified_pairs(docs, pairs, threshold).unionByName(copies)
+    members, near = _collapsed(docs, threshold, tolerance)
+    return near.unionByName(members.where("id > doc_a").select("doc_a", F.col("id").alias("doc_b"), F.lit(1.0).alias("jaccard")))
+
+
+def _crossed(rows: DataFrame) -> DataFrame:
+    """All pairs of the ids in lists x and y, the smaller first; rows are spread before, since each gives up to BLOCK squared."""
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.select(F.explode("x").alias("p"), "y", "own", "jaccard").select("p", F.explode("y").alias("q"), "own", "jaccard")
+    # of a block with itself, each pair comes up in both orders
+    rows = rows.where("p < q or (p > q and not own)")
+    return rows.select(F.least("p", "q").alias("doc_a"), F.greatest("p", "q").alias("doc_b"), "jaccard")
+
+
+def full_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """(doc_a, doc_b, jaccard), doc_a < doc_b: pairs whose sets of word n-grams have a Jaccard index of at least ``threshold``.
+
+    Documents with the same set are compared with others once and then stand in every pair of theirs, with each
+    other and with all near ones; their lists are cut into blocks of ``BLOCK``, each pair of blocks a row of its
+    own, so there is no cap. Otherwise as jaccard_join().
+    """
+    members, near = _collapsed(docs, threshold, tolerance)
+    members = members.distinct()
+    at = W.partitionBy("doc_a")
+    members = members.withColumn("n", F.count("*").over(at)).where("n > 1").withColumn("block", F.floor((F.row_number().over(at.orderBy("id")) - 1) / BLOCK))
+    lists = written(members.groupBy("doc_a", "block").agg(F.collect_list("id").alias("ids")), "join-copies")
+    other = lists.select("doc_a", F.col("block").alias("to"), F.col("ids").alias("y"))
+    alike = lists.withColumnRenamed("ids", "x").join(other, "doc_a").where("block <= to").select("x", "y", (F.col("block") == F.col("to")).alias("own"), F.lit(1.0).alias("jaccard"))
+    ends = near.join(lists.select("doc_a", F.col("ids").alias("x")), "doc_a", "left").join(lists.select(F.col("doc_a").alias("doc_b"), F.col("ids").alias("y")), "doc_b", "left")
+    ends = ends.select(F.coalesce("x", F.array("doc_a")).alias("x"), F.coalesce("y", F.array("doc_b")).alias("y"), F.lit(False).alias("own"), "jaccard")
+    return _crossed(ends.unionByName(alike))
 
 
 def near_duplicates_dropped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

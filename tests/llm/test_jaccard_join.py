@@ -3,7 +3,7 @@ import random
 import pyarrow as pa
 
 from lodeweave.llm.components import components
-from lodeweave.llm.jaccard_join import jaccard_join, near_duplicates_dropped, ngram_sets
+from lodeweave.llm.jaccard_join import BLOCK, full_join, jaccard_join, near_duplicates_dropped, ngram_sets
 
 
 def grams(t, n=3):
@@ -78,3 +78,22 @@ def test_sets_and_components(spark):
             boss[a] = boss[b] = min(boss[a], boss[b])
     got = {r.id: r.comp for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: c for x, c in boss.items() if any(a != b and x in (a, b) for a, b in pairs)}
+
+
+def test_full_join_against_uncollapsed_brute_force(spark):
+    rows = corpus(5, 500)
+    rows += [(i, "the same few words again and again") for i in range(2000, 2000 + 2 * BLOCK + 30)]
+    rows += [(i, "the same few words again and again today") for i in (1500, 1501, 9000)]
+    rows += [(9000, "the same few words again and again today"), (None, "the same few words again and again"), (9001, ""), (9002, "")]
+    got = [(r.doc_a, r.doc_b, r.jaccard) for r in full_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    sets = {i: grams(x) for i, x in rows if i is not None and x}
+    own, want = sorted(sets), {}
+    for k, a in enumerate(own):
+        for b in own[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both >= 0.5 * len(sets[a] | sets[b]):
+                want[a, b] = both / len(sets[a] | sets[b])
+    assert len({(a, b) for a, b, _ in got}) == len(got) and all(abs(want[a, b] - j) < 1e-12 for a, b, j in got)
+    assert len(got) >= 0.97 * len(want) and {p for p, j in want.items() if j == 1} <= {(a, b) for a, b, _ in got}
+    assert sum(a in (1500, 1501, 9000) or b in (1500, 1501, 9000) for a, b, _ in got) == 3 * (2 * BLOCK + 30) + 3
+    assert full_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
