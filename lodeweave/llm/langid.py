@@ -8,8 +8,9 @@ worker whatever the corpus. Every document is then scored over its whole text, i
 n-grams are kept as sorted arrays of 64-bit hashes. The probabilities of each 5-gram that any model has seen
 are worked out for all languages in advance, so that a symbol of text costs one search; other 5-grams back off
 through the orders. The language of the lowest cross-entropy for a symbol is chosen. It is rejected if that
-entropy is above a limit, calibrated on further labelled documents: halfway between theirs and that of their
-letters in a random order, with an allowance for short texts.
+entropy is above a limit, calibrated on further labelled texts: halfway between theirs and that of their
+letters in a random order, with an allowance for short texts. The sample consists of stretches of texts, so long
+texts are in it too; a language with few of them takes the other languages' texts for the lower side of the limit.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 ORDER = 5
-#: Bounds of the labelled sample, for each language: characters and documents to fit on, and to calibrate with.
+#: Bounds of the labelled sample, for each language: characters and stretches of text to fit on, and to calibrate with.
 TRAIN_CHARS, TRAIN_DOCS = 1_500_000, 4000
 HELD_CHARS, HELD_DOCS = 750_000, 1500
-#: Fewest calibration documents; a language with fewer rejects nothing. Standard deviations that a short text may be off.
+#: A stretch is at most this part of the smaller bound.
+STRETCHES = 150
+#: Fewest calibration texts of a language's own limit; with fewer, the others' are added. Standard deviations that a short text may be off.
 LEAST, DEVIATIONS = 30, 4.0
 _SPACE, _OTHER = 1, 2
 _CHUNK = 1 << 19
@@ -177,20 +180,34 @@ class Identifier:
         seen = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.uint64)
         self.union = HashArray(_key(seen, ORDER), np.stack([m.logs(seen) for m in self.models], 1).astype(np.float32)) if self.names else None
         self.limit, self.slack = np.full(len(self.names), np.inf), np.zeros(len(self.names))
+        clean: list[tuple[np.ndarray, np.ndarray]] = []  # entropies by the own language, and numbers of symbols
+        for k, name in enumerate(self.names):
+            h, n = self.entropies(held.get(name, []))
+            clean.append((h[n > 0, k], n[n > 0]))
+        enough = [len(n) >= LEAST for _, n in clean]
         for k, name in enumerate(self.names):
             texts = held.get(name, [])
-            h, n = self.entropies(texts)
-            if (n > 0).sum() < LEAST:
-                continue
+            if enough[k]:
+                e, n = clean[k]
+            else:
+                texts = [*texts, *train[name][:STRETCHES]]
+                others = [clean[j] for j in range(len(clean)) if j == k or enough[j] or not any(enough)]
+                e, n = (np.concatenate(x) for x in zip(*others))
             rnd = np.random.RandomState(k)
-            g, _ = self.entropies(["".join(rnd.permutation(list(t))) for t in texts])
-            long = n >= np.median(n[n > 0])
-            own = h[long, k]
+            g, size = self.entropies(["".join(rnd.permutation(list(t))) for t in texts])
+            g, size = g[size > 0].min(axis=1), size[size > 0]
+            if not len(g):
+                continue
             # halfway between nearly all texts of the language and nearly all of the same letters in a random order
-            self.limit[k] = (np.quantile(own, 0.999) + np.quantile(g[long].min(axis=1), 0.001)) / 2
-            short = (n > 0) & ~long
-            excess = np.maximum((h[short, k] - own.mean()) ** 2 - own.var(), 0) * n[short]
-            self.slack[k] = DEVIATIONS * np.sqrt(excess.mean()) if short.any() else 0.0
+            bad = np.quantile(g[size >= np.median(size)], 0.001)
+            if not len(n):
+                self.limit[k] = bad
+                continue
+            long = n >= np.median(n)
+            own = e[long]
+            self.limit[k] = (np.quantile(own, 0.999) + bad) / 2
+            excess = np.maximum((e[~long] - own.mean()) ** 2 - own.var(), 0) * n[~long]
+            self.slack[k] = DEVIATIONS * np.sqrt(excess.mean()) if len(excess) else 0.0
 
     def accepted(self, e: np.ndarray, n: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Entropies below the limit; the fewer symbols, the more a text may exceed it."""
@@ -236,24 +253,36 @@ class Identifier:
 
 
 def fit(docs: DataFrame, train_chars: int = TRAIN_CHARS, held_chars: int = HELD_CHARS) -> Identifier:
-    """Fit on the labelled rows, those with a lang, in the order of a hash of doc_id: first the training sample, then the calibration sample."""
-    rows = docs.where("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", F.length("text").alias("n"), F.xxhash64(F.lit(11), F.col("doc_id").cast("long")).alias("h"))
-    order = W.partitionBy("lang").orderBy("h", "doc_id", "n")
+    """Fit on the labelled rows, those with a lang, in the order of a hash of doc_id: first the training sample, then the calibration sample.
+
+    Texts are cut into stretches; the sample takes one of each text, then another of each, until its bounds.
+    """
     most = train_chars + held_chars
+    size = max(1, min(train_chars, held_chars) // STRETCHES)
+    rows = docs.where("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", F.length("text").alias("len"), F.xxhash64(F.lit(11), F.col("doc_id").cast("long")).alias("h"))
+    rows = rows.withColumn("of", F.greatest(F.lit(1), F.ceil(F.col("len") / size)).cast("long"))
+    # more stretches of one text than the whole sample has are of no use
+    rows = rows.withColumn("round", F.explode(F.sequence(F.lit(0), F.least(F.col("of"), F.lit(TRAIN_DOCS + HELD_DOCS)).cast("int") - 1)))
+    rows = rows.withColumn("start", F.pmod(F.col("h") + F.col("round"), F.col("of")) * size).withColumn("n", F.least(F.lit(size), F.col("len") - F.col("start")))
+    order = W.partitionBy("lang").orderBy("round", "h", "doc_id", "len")
     some = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= TRAIN_DOCS + HELD_DOCS)
-    some = some.where(F.col("n") <= min(train_chars, held_chars) // 8).withColumn("sum", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0))).where(F.col("sum") <= most)
-    some = some.select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "k", "sum")
+    some = some.withColumn("sum", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0))).where(F.col("sum") <= most)
+    some = some.select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), F.col("len").alias("__len"), "h", "start").distinct()
     # at most TRAIN_DOCS + HELD_DOCS rows a language, so it may be broadcast whatever the input
-    got = docs.select("doc_id", "lang", "text").join(F.broadcast(some), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
+    got = docs.select("doc_id", "lang", "text").join(F.broadcast(some), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")) & (F.length("text") == F.col("__len")))
+    got = got.select("h", "doc_id", "lang", "start", F.substr("text", (F.col("start") + 1).cast("int"), F.lit(size)).alias("part"))
     train: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
-    rows = sorted((r.k, r.lang, r.text, r.sum) for r in got.select("k", "lang", "text", "sum").toLocalIterator() if r.text is not None)
+    # by document, so that hardly one is in both samples
+    rows = sorted((r.h, r.doc_id, r.start, r.lang, r.part) for r in got.toLocalIterator() if r.part is not None)
     sizes: dict[str, int] = {}
-    for _, name, _, size in rows:
-        sizes[name] = max(sizes.get(name, 0), size)
-    for _, name, text, size in rows:
+    for *_, name, text in rows:
+        sizes[name] = sizes.get(name, 0) + len(text)
+    had = dict.fromkeys(sizes, 0)
+    for *_, name, text in rows:
         # a language with less than the bounds is shared out in the same proportion
-        (train if size <= min(train_chars, sizes[name] * train_chars / most) else held).setdefault(name, []).append(text)
+        had[name] += len(text)
+        (train if name not in train or had[name] <= sizes[name] * train_chars / most else held).setdefault(name, []).append(text)
     return Identifier({n: train.get(n, []) for n in sizes}, held)
 
 

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from lodeweave.llm.langid import ORDER, HashArray, Identifier, KneserNey, identify, known_languages, packed
+from lodeweave.llm.langid import LEAST, ORDER, HashArray, Identifier, KneserNey, fit, identify, known_languages, packed
 
 WORDS = {
     "en": "the of and to in that it was for with he is on be at by his had from are".split(),
@@ -99,3 +99,29 @@ def test_one_pass_is_the_same_as_pieces():
     long = text("de", 150000, rnd)
     h, n = model.entropies(["ab", long, "", "der die"])
     assert n[2] == 0 and np.allclose(h[1], model.entropies([long])[0][0]) and np.allclose(h[3], model.entropies(["der die"])[0][0])
+
+
+def test_a_language_with_few_texts_rejects():
+    rnd = random.Random(6)
+    few = LEAST // 3
+    train = {x: [text(x, 40, rnd) for _ in range(few if x == "fr" else 60)] for x in WORDS}
+    held = {x: [text(x, 40, rnd) for _ in range(few if x == "fr" else 60)] for x in WORDS}
+    clean = [text("fr", 30, rnd) for _ in range(40)]
+    junk = ["".join(rnd.sample(t, len(t))) for t in clean]
+    for h in (held, {"fr": held["fr"]}, {}):
+        model = Identifier(train, h)
+        assert np.isfinite(model.limit).all()
+        # with nothing to calibrate on, only the lowest of shuffled texts limits
+        assert all(model.choose(clean)[2]) and sum(model.choose(junk)[2]) <= (0 if h else 4)
+
+
+def test_long_texts_are_fitted_on(spark):
+    rnd = random.Random(8)
+    rows = [(i, text(x, n, rnd), x) for x, n, many in (("en", 30, 120), ("de", 30, 120), ("fr", 22000, 8)) for i in range(many)]
+    rows = [(k, t, x) for k, (_, t, x) in enumerate(rows)]
+    assert min(len(t) for _, t, x in rows if x == "fr") > 93_750
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    clean = [text("fr", 30, rnd) for _ in range(40)]
+    names, _, ok = model.choose(clean)
+    assert set(names) == {"fr"} and all(ok) and np.isfinite(model.limit).all()
+    assert not any(model.choose(["".join(rnd.sample(t, len(t))) for t in clean])[2])
