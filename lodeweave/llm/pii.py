@@ -32,6 +32,8 @@ from lodeweave.llm import boosting
 KINDS = ("EMAIL", "PHONE", "IP", "CARD", "SSN", "IBAN", "SECRET")
 #: Bound of the labelled sample, and what part of it is held out to calibrate with.
 SENTENCES, HELD = 16000, 0.3
+#: For so many sentences, one of very long secrets or look-alikes is added.
+LONG = 20
 RECALL = 0.995
 SEED = 20240607
 _CONTEXT = 32
@@ -50,8 +52,8 @@ _PATTERNS = [
     ("CARD", re.compile(r"(?<![\w])3\d{3}[ \-]\d{6}[ \-]\d{5}(?!\w)")),
     ("SSN", re.compile(r"(?<![\w\-])\d{3}[\- ]\d{2}[\- ]\d{4}(?![\w\-])")),
     ("IBAN", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
-    ("SECRET", re.compile(r"(?i:passw(?:or)?d|passphrase|pwd|token|secret|credentials?|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|auth)[\w\-]{0,16}[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;<>]{4,512})")),
-    ("SECRET", re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,512}(?:\.[A-Za-z0-9_\-]{8,512}){0,2}={0,2}(?![A-Za-z0-9+/_\-])")),
+    ("SECRET", re.compile(r"(?i:passw(?:or)?d|passphrase|pwd|token|secret|credentials?|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|auth)[\w\-]{0,16}[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;<>]{4,})")),
+    ("SECRET", re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+(?:\.[A-Za-z0-9_\-]{8,}+(?![+/])){0,2}={0,2}(?![A-Za-z0-9+/_\-])")),
 ]
 _WORDS = {
     "mail": re.compile(r"(?i)mail|contact|write|reply|@"),
@@ -233,6 +235,24 @@ def _sentence(rnd: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
     return text, truth
 
 
+def _long_sentence(rnd: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
+    """A sentence with a secret of hundreds or thousands of characters, or with a look-alike of that length."""
+    pick, alnum = rnd.choice, string.ascii_letters + string.digits
+    c = lambda a, n: "".join(rnd.choice(a) for _ in range(n))
+    word = lambda: "".join(rnd.choice("bcdfghklmnprstvw") + rnd.choice("aeiou") for _ in range(rnd.randint(1, 5)))
+    size = lambda: int(math.exp(rnd.uniform(math.log(200), math.log(8000))))
+    before, after = (" ".join(word() for _ in range(rnd.randint(0, 6))) for _ in range(2))
+    if rnd.random() < 0.5:
+        lead, s = pick([
+            lambda: (pick(["", "Bearer ", "token="]), f"eyJ{c(alnum, rnd.randint(17, 80))}.eyJ{c(alnum + '_-', size())}.{c(alnum + '_-', pick([43, 86, 342]))}"),
+            lambda: (pick(["token=", "token: ", "password=", "secret=", "api_key = ", "key ", "secret "]), c(alnum + pick(["", "+/"]), size()) + pick(["", "", "="])),
+        ])()
+    else:
+        lead, s = "", pick([lambda: pick(["a", "0", "1", "-1", "ab1", "/x1"]) * size(), lambda: pick("/-_").join(word() + pick(["", "", "1", "23"]) for _ in range(size() // 6))])()
+    text = f"{before} {lead}".lstrip()
+    return f"{text}{s} {after}", [(len(text), len(text) + len(s), "SECRET")] if lead or s.startswith("eyJ") else []
+
+
 @dataclass
 class Detector:
     """The fitted trees, the calibration, and each kind's threshold."""
@@ -269,8 +289,8 @@ def labelled(sentences: int, seed: int) -> tuple[np.ndarray, np.ndarray, list[st
     """Features, labels and kinds of the candidates of composed sentences."""
     rnd = random.Random(seed)
     x, y, kinds = [], [], []
-    for _ in range(sentences):
-        text, truth = _sentence(rnd)
+    for i in range(sentences + sentences // LONG):
+        text, truth = _sentence(rnd) if i < sentences else _long_sentence(rnd)
         for s, e, k in candidates(text):
             x.append(features(text, s, e, k))
             y.append(float(any(k == t and min(e, b) - max(s, a) >= 0.9 * (max(e, b) - min(s, a)) for a, b, t in truth)))

@@ -73,3 +73,14 @@ def test_tables(spark):
     (span,) = got[3].redactions
     assert rows[3][1][span.start : span.end] == "10.20.30.240" and span.kind == "IP"
     assert redact(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_secrets_go_whole(spark):
+    rnd, model = random.Random(12), fit()
+    c = lambda n: "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    made = [("key ", c(600)), ("Bearer ", f"eyJ{c(33)}.eyJ{c(900)}.{c(43)}"), ("token=", c(900)), ("password=", c(900)), ("token=", c(100_000)), ("key ", c(100_000)), ("Bearer ", f"eyJ{c(33)}.eyJ{c(5000)}.{c(342)}")]
+    rows = [(k, f"words before {lead}{x} and words after") for k, (lead, x) in enumerate(made)]
+    for (k, t), (lead, x) in zip(rows, made):
+        assert any(t[s:e] == x for s, e, _ in candidates(t)), k
+    got = {r.doc_id: r.text for r in redact(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {k: f"words before {lead}[SECRET] and words after" for k, (lead, _) in enumerate(made)}
