@@ -29,8 +29,9 @@ from lodeweave.llm.common import written
 
 #: Texts of a group that the estimates are taken from; concentration steps; the quantile beyond which texts are rejected.
 SHARE, STEPS, QUANTILE = 0.75, 8, 0.9999
-#: Groups with fewer texts are estimated together, those of a language first; if they are still fewer, they are accepted.
-MIN_ROWS = 100
+#: Groups with fewer texts are estimated together, those of a language first; if they are still fewer, they are accepted,
+#: or judged by all other groups' pooled estimates, the scatter widened by so much.
+MIN_ROWS, WIDENED = 100, 2.0
 #: Texts count as if they had so many words or characters of their group's average besides their own.
 PRIOR_WORDS, PRIOR_CHARS = 20, 100
 NAMES = ("word_length", "symbols", "capitals", "distinct", "spread", "length")
@@ -231,6 +232,39 @@ def _concentrated(rows: DataFrame, params: DataFrame, share: float | None) -> Da
     return written(total.join(params.select("grp", "m"), "grp").mapInPandas(_next(factor), _SCHEMA), "quality-step")
 
 
+def _moments(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each group's centre and second moments, without the floors, times its rows."""
+    for pdf in pdfs:
+        rows = []
+        for n, m, p in pdf[["t_rows", "m", "p"]].itertuples(index=False):
+            inverse = np.zeros((_D, _D))
+            for (i, j), x in zip(_PAIRS, p):
+                inverse[i, j] = inverse[j, i] = x
+            two = np.linalg.inv(inverse) - np.diag(np.square(FLOORS)) + np.outer(m, m)
+            rows.append((float(n), *(n * np.asarray(m)), *(n * two[i, j] for i, j in _PAIRS)))
+        yield pd.DataFrame(rows, columns=["n", *[f"s{k}" for k in range(_D + len(_PAIRS))]])
+
+
+def _pooled(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in pdfs:
+        rows = []
+        for n, *sums in pdf[["n", *[f"s{k}" for k in range(_D + len(_PAIRS))]]].itertuples(index=False):
+            mean, cov = np.asarray(sums[:_D]) / n, np.zeros((_D, _D))
+            for (i, j), s in zip(_PAIRS, sums[_D:]):
+                cov[i, j] = cov[j, i] = s / n - mean[i] * mean[j]
+            rows.append(("rest", *_parameters(mean, cov * WIDENED)))
+        yield pd.DataFrame(rows, columns=["grp", "m", "p", "v"])
+
+
+def with_fallback(params: DataFrame) -> DataFrame:
+    """Adds estimates for the rest, if it has none: the groups' pooled, their scatter and that between their centres together."""
+    columns = [f"s{k}" for k in range(_D + len(_PAIRS))]
+    sums = params.mapInPandas(_moments, ", ".join(f"{c} double" for c in ["n", *columns])).agg(*[F.sum(c).alias(c) for c in ["n", *columns]]).where("n > 0")
+    totals = params.agg(*[F.sum(c).alias(c) for c in ["t_rows", *[f"t_{s}" for s in _STATS]]])
+    rest = sums.mapInPandas(_pooled, _SCHEMA).crossJoin(totals)
+    return params.unionByName(rest.join(params.where("grp = 'rest'").select("grp"), "grp", "left_anti"))
+
+
 def estimates(stats: DataFrame, share: float = SHARE, steps: int = STEPS, min_rows: int = MIN_ROWS) -> tuple[DataFrame, DataFrame]:
     """(key, grp), and the centre and precision of each group with at least ``min_rows`` texts, and its totals."""
     of = written(groups(stats, min_rows), "quality-groups")
@@ -259,15 +293,18 @@ def judged(stats: DataFrame, of: DataFrame, params: DataFrame, quantile: float =
     return df.select("row.*", F.col("d").alias("quality_distance"), ok.alias("quality_ok"))
 
 
-def outliers(docs: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+def outliers(docs: DataFrame, quantile: float = QUANTILE, every: bool = False) -> DataFrame:
     """(doc_id, lang, source, quality_distance, quality_ok) of each document, false for what is rejected.
 
     A null text and one without words have no distance and are rejected. Null lang and source are values like
     others. In groups that are too small for estimates even together, nothing is rejected and there is no
-    distance. Repeated rows each get the same. An empty table gives no rows. Extra columns are ignored.
+    distance; with ``every``, they are judged by the other groups' estimates, and only in a table that has no group
+    of ``MIN_ROWS`` texts, however put together, is nothing rejected. Repeated rows each get the same. An empty table gives no rows. Extra columns are ignored.
     """
     stats = written(counted(docs.select("doc_id", "lang", "source", "text"), text=False), "quality-counts")
-    return judged(stats, *estimates(stats), quantile).select("doc_id", "lang", "source", "quality_distance", "quality_ok")
+    of, params = estimates(stats)
+    params = with_fallback(written(params, "quality-estimates")) if every else params
+    return judged(stats, of, params, quantile).select("doc_id", "lang", "source", "quality_distance", "quality_ok")
 
 
 def within(docs: DataFrame, quantile: float = QUANTILE) -> DataFrame:

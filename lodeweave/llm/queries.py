@@ -82,7 +82,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_op
 def op8_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's robust distance from its language and source, and whether it is accepted."""
-    return outliers(spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")))
+    return outliers(spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")), every=True)
 
 
 @_op

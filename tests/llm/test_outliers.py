@@ -73,3 +73,17 @@ def test_edges(spark, monkeypatch):
     monkeypatch.setattr(outliers_, "STEPS", 1)
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert outliers(empty).count() == 0 and within(empty).count() == 0
+
+
+def test_a_rare_language_is_judged(spark, monkeypatch):
+    monkeypatch.setattr(outliers_, "STEPS", 1)
+    rows = [(i, clean(RND.randint(40, 300)), "en", f"s{i % 2}") for i in range(400)]
+    rows += [(1000 + i, clean(RND.randint(40, 300)).translate(str.maketrans("abcdefghij", "абвгдежзик")), "ru", "s0") for i in range(50)]
+    rows += [(2000 + i, RND.choice(["$$ ## %% " * 60, "ab " * 150, clean(200).upper().replace(" ", "!! ")]), "ru", "s1") for i in range(10)]
+    schema = "doc_id long, text string, lang string, source string"
+    got = {r.doc_id: r for r in outliers(spark.createDataFrame(rows, schema), every=True).collect()}
+    assert not any(r.quality_distance is None for r in got.values())
+    assert not any(got[r[0]].quality_ok for r in rows if r[0] >= 2000)
+    assert sum(got[r[0]].quality_ok for r in rows if r[0] < 2000) >= 445
+    few = outliers(spark.createDataFrame(rows[-20:], schema), every=True).collect()
+    assert len(few) == 20 and all(r.quality_ok and r.quality_distance is None for r in few)
