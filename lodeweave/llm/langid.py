@@ -1,6 +1,7 @@
 """Language ID by interpolated Kneser-Ney character language models in sorted hash arrays.
 
-A text is read as lower-case letters, with everything between two runs of letters as one space. The models, one
+A text is read as lower-case letters (the 250 most frequent ones of all languages together, any other as one symbol:
+this is for alphabetic scripts with no more letters in all), with everything between two runs of letters as one space. The models, one
 for each language of the labelled rows, are fitted on a sample of those rows that is bounded by ``TRAIN_CHARS``
 letters a language; the fit is a classifier's, so it is bounded, and its result is small enough to hand to every
 worker whatever the corpus. Every document is then scored over its whole text, in one pass without a shuffle.
