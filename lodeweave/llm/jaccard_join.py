@@ -1,17 +1,20 @@
 """N-gram Jaccard join: MinHash candidates, Bayesian pruning, exact verification.
 
 1. A pass over the texts gives each document its distinct word n-grams, hashed to 64 bits, a 128-bit hash of
-   that set and ``HASHES`` MinHash values. Documents of one set are copies; the smallest doc_id stands for all
-   until the pairs are verified. full_join() then puts every copy in its place; for groups of near duplicates
-   the links of jaccard_join() are enough.
-2. Documents that agree on all values of a band meet in a bucket. A bucket of any size is cut into blocks of
-   ``BLOCK`` documents, and each pair of blocks is a group of its own, so there is no cap on partners. A pair
-   counts in the first band that it shares, so it comes up once.
+   that set and ``HASHES`` MinHash values. Documents of one set are copies; the smallest doc_id stands for all.
+2. Documents that agree on all values of a band meet in a bucket. A bucket of any size is cut by a hash of the id into
+   blocks of about ``BLOCK`` documents, and each pair of blocks is a group of its own, so there is no cap on
+   partners. A pair counts in the first band that it shares, so it comes up once.
 3. In the group, MinHash values are compared a few at a time. With a uniform prior, the posterior of the
    similarity after m matches in n is Beta(m + 1, n - m + 1); a pair goes once its probability of reaching the
-   threshold is below the tolerance.
-4. Connected components of what remains bring together the documents whose n-gram sets have to meet; within
-   blocks of a component, intersections are counted exactly as products of incidence matrices.
+   threshold is below the tolerance. What remains leaves the group as one list of partners for each document, beside
+   the few links that hold these together.
+4. Connected components of those links bring together the documents whose n-gram sets have to meet. A set is sent
+   to the pairs of blocks in which one of its document's own partners is, and to no others; there, intersections
+   are counted exactly as products of incidence matrices.
+
+linked() gives each document its class and its number of links, and so a row for each document however many links
+there are; jaccard_join() gives the pairs themselves, copies collapsed.
 """
 
 from __future__ import annotations
@@ -23,9 +26,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from lodeweave.llm.common import fresh, written
 from lodeweave.llm.components import components
@@ -37,7 +39,8 @@ BANDS, ROWS = 32, 3
 HASHES = BANDS * ROWS
 #: Values compared between two looks at the posterior.
 STEP = 12
-BLOCK = 256
+#: Documents in a block of signatures, and in one of n-gram sets, which are larger; both are about so many.
+BLOCK, SETS = 2048, 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A = (np.random.RandomState(20240229).randint(0, 2**31, HASHES).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = np.random.RandomState(20240301).randint(0, 2**31, HASHES).astype(np.uint32) * np.uint32(2) + np.uint32(1)
@@ -70,10 +73,10 @@ def ngram_sets(texts: pa.Array, n: int = NGRAM) -> list[np.ndarray]:
         if size == 0 or (size == 1 and codes.dictionary[int(codes.indices[int(a)].as_py())].as_py() == ""):
             out.append(np.zeros(0, np.uint64))
         elif size < n:
-            h = np.uint64(size)
-            for x in flat[a:b]:
-                h = h * _MIX + x
-            out.append(_mixed(np.array([h], dtype=np.uint64)))
+            h = np.array([size], dtype=np.uint64)  # an array, as sums of single numbers warn of overflow
+            for x in range(a, b):
+                h = h * _MIX + flat[x : x + 1]
+            out.append(_mixed(h))
         else:
             out.append(np.unique(gram[a : b - n + 1]))
     return out
@@ -95,23 +98,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(0, batch.num_rows, 512):
             part = batch.slice(k, 512)
             sets = ngram_sets(part.column(1))
-            ids = part.column(0).to_numpy(zero_copy_only=False)
-            keep = [i for i, s in enumerate(sets) if len(s)]
-            one = [int(sets[i].sum(dtype=np.uint64)) for i in keep]
-            two = [int(np.bitwise_xor.reduce(sets[i] * _MIX + np.uint64(1))) ^ len(sets[i]) for i in keep]
-            yield pa.record_batch(
-                [
-                    pa.array(ids[keep], pa.int64()),
-                    pa.array([(x << 64 | y).to_bytes(16, "big") for x, y in zip(one, two)], pa.binary()),
-                    pa.array([minhash(sets[i]).tobytes() for i in keep], pa.binary()),
-                ],
-                names=["id", "same", "sig"],
-            )
+            same = [((int(x.sum(dtype=np.uint64)) << 64) | (int(np.bitwise_xor.reduce(x * _MIX + np.uint64(1))) ^ len(x))).to_bytes(16, "big") if len(x) else None for x in sets]
+            yield pa.record_batch([part.column(0), pa.array(same, pa.binary()), pa.array([minhash(x).tobytes() if len(x) else None for x in sets], pa.binary())], names=["id", "same", "sig"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(id, same, sig) of each document with a non-null doc_id and at least one word."""
-    return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_signatures, "id bigint, same binary, sig binary")
+    """(id, same, sig) of each document with a non-null doc_id; same and sig are null without a word."""
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_signatures, "id bigint, same binary, sig binary")
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -185,24 +178,29 @@ def _starts(t: pa.Table, by: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(change), t.num_rows)
 
 
+def _tiles(x: np.ndarray, y: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of x with y, or of x with what follows in it, some 100 000 at a time."""
+    other = x if y is None else y
+    step = max(1, 100_000 // max(1, len(other)))
+    for k in range(0, len(x), step):
+        i, j = np.repeat(np.arange(k, min(k + step, len(x))), len(other)), np.tile(np.arange(len(other)), min(step, len(x) - k))
+        if y is None:
+            i, j = i[i < j], j[i < j]
+        yield x[i], other[j]
+
+
 def _pairs(starts: np.ndarray, block: np.ndarray, bi: np.ndarray, bj: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs i < j within groups; in a group of two blocks only across them. At most some 100 000 at a time."""
-    left, right, n = [], [], 0
+    """Index pairs i < j within groups; in a group of two blocks only across them. At most some 200 000 at a time."""
     small: dict[int, list[int]] = {}
     for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        if e - s < 2:
-            continue
-        if bi[s] == bj[s]:
+        if bi[s] != bj[s]:
+            x, y = s + np.flatnonzero(block[s:e] == bi[s]), s + np.flatnonzero(block[s:e] == bj[s])
+            yield from _tiles(x, y)
+        elif e - s > 256:
+            yield from _tiles(np.arange(s, e), None)
+        elif e - s > 1:
             small.setdefault(e - s, []).append(s)
-        else:
-            x = s + np.flatnonzero(block[s:e] == bi[s])
-            y = s + np.flatnonzero(block[s:e] == bj[s])
-            left.append(np.repeat(x, len(y)))
-            right.append(np.tile(y, len(x)))
-            n += len(left[-1])
-            if n > 100_000:
-                yield np.concatenate(left), np.concatenate(right)
-                left, right, n = [], [], 0
+    left, right, n = [], [], 0
     for size, where in small.items():
         i, j = np.triu_indices(size, 1)
         per = max(1, 100_000 // len(i))
@@ -218,45 +216,89 @@ def _pairs(starts: np.ndarray, block: np.ndarray, bi: np.ndarray, bj: np.ndarray
         yield np.concatenate(left), np.concatenate(right)
 
 
+def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node that it is connected with) for the ends of edges."""
+    nodes, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    a, b = at[: len(x)], at[len(x) :]
+    low = np.arange(len(nodes))
+    while True:
+        m = np.minimum(low[a], low[b])
+        new = low.copy()
+        np.minimum.at(new, a, m)
+        np.minimum.at(new, b, m)
+        new = new[new]
+        if (new == low).all():
+            return nodes, nodes[low]
+        low = new
+
+
+_FOUND = "a bigint, bs array<bigint>, link boolean"
+
+
+def _lists(a: np.ndarray, b: np.ndarray, link: bool) -> pa.RecordBatch:
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+    return pa.record_batch([pa.array(a[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(a)), pa.int32()), pa.array(b)), pa.array(np.full(len(first), link))], names=["a", "bs", "link"])
+
+
 def _candidates(least: list[int]):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = ["key", "bi", "bj"]
         for t in _groups(batches, by):
             sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
             ids, band = t.column("id").to_numpy(), (t.column("key").to_numpy().view(np.uint64) >> np.uint64(48)).astype(np.int32)
+            ends: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
             for i, j in _pairs(_starts(t, by), t.column("block").to_numpy(), t.column("bi").to_numpy(), t.column("bj").to_numpy()):
                 a, b = sig[i], sig[j]
                 ok = prune(a, b, least)
                 same = (a[ok] == b[ok]).reshape(-1, BANDS, ROWS).all(axis=2)
                 ok = ok[same.argmax(axis=1) == band[i[ok]]]
-                x, y = ids[i[ok]], ids[j[ok]]
-                yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                if not len(ok):
+                    continue
+                x, y = np.minimum(ids[i[ok]], ids[j[ok]]), np.maximum(ids[i[ok]], ids[j[ok]])
+                yield _lists(x, y, False)
+                node, low = _forest(x, y)
+                ends.append((low[node != low], node[node != low]))
+                held += len(ends[-1][0])
+                if held > 1_000_000:
+                    node, low = _forest(*(np.concatenate(z) for z in zip(*ends)))
+                    ends = [(low[node != low], node[node != low])]
+                    held = len(ends[0][0]) // 2
+            if ends:
+                node, low = _forest(*(np.concatenate(z) for z in zip(*ends)))
+                yield _lists(low[node != low], node[node != low], True)
 
     return f
 
 
-def _blocked(df: DataFrame, by: str, order: str) -> DataFrame:
-    """Cut each group of two or more rows into blocks of BLOCK; a row for each pair of blocks that its own is in."""
-    at = W.partitionBy(by)
-    df = df.withColumn("n", F.count("*").over(at)).where("n > 1")
-    df = df.withColumn("block", F.floor((F.row_number().over(at.orderBy(order)) - 1) / BLOCK).cast("int")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+def _block(of: Column, blocks: Column) -> Column:
+    """The block of an id, by a hash, so that it can be told without a join."""
+    return F.pmod(F.xxhash64(F.lit(5), of), blocks.cast("long")).cast("int")
+
+
+def _met(keys: DataFrame) -> DataFrame:
+    """(key, id, block, bi, bj): a row for each pair of blocks that an id is in, for the keys that occur twice or more."""
+    many = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    df = keys.join(many, "key").withColumn("block", _block(F.col("id"), F.col("blocks")))
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return df.withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")).drop("n", "blocks", "other")
+    return df.select("key", "id", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
 
 
 def candidate_pairs(reps: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """(a, b), a < b: pairs that share a band and that the posterior doesn't rule out."""
+    """(a, bs, link): pairs a < b that share a band and that the posterior doesn't rule out, as lists; rows with ``link`` only hold together what is in the others."""
     keys = reps.select("id", "sig").mapInArrow(_bands, "id bigint, key bigint")
-    met = _blocked(keys, "key", "id").join(reps.select("id", "sig"), "id")
+    met = _met(keys).join(reps.select("id", "sig"), "id")
     met = met.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "id")
-    return met.select("key", "bi", "bj", "block", "id", "sig").mapInArrow(_candidates(least_matches(threshold, tolerance)), "a bigint, b bigint")
+    return met.select("key", "bi", "bj", "block", "id", "sig").mapInArrow(_candidates(least_matches(threshold, tolerance)), _FOUND)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, batch.num_rows, 512):
             part = batch.slice(k, 512)
-            yield pa.record_batch([part.column(0), pa.array([s.tobytes() for s in ngram_sets(part.column(1))], pa.binary())], names=["id", "grams"])
+            yield pa.record_batch([part.column(0), part.column(2), pa.array([s.tobytes() for s in ngram_sets(part.column(1))], pa.binary())], names=["id", "copies", "grams"])
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -278,109 +320,108 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _verified(threshold: float):
+def _verified(threshold: float, links: bool):
+    """Pairs of each group that reach the threshold, or, with ``links``, how many documents each is linked with, and one that holds them together."""
+
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = ["comp", "bi", "bj"]
         for t in _groups(batches, by):
             starts = _starts(t, by)
-            ids = t.column("id").to_numpy()
-            out_a, out_b, out_j = [], [], []
+            ids, times = t.column("id").to_numpy(), t.column("copies").to_numpy()
+            found: list[list[np.ndarray]] = [[], [], []]
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
                 sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("grams").slice(s, e - s)]
-                partners = t.column("partners").slice(s, e - s).to_pylist()
-                shared, n = intersections(sets), np.array([len(x) for x in sets])
-                place = {int(x): k for k, x in enumerate(ids[s:e])}
-                for k in range(e - s):
-                    to = np.array([place[x] for x in partners[k] or () if x in place], dtype=np.int64)
-                    if len(to):
-                        j = shared[k, to] / (n[k] + n[to] - shared[k, to])
-                        ok = j >= threshold
-                        out_a.append(np.full(ok.sum(), ids[s + k]))
-                        out_b.append(ids[s + to[ok]])
-                        out_j.append(j[ok])
-            if out_a:
-                yield pa.record_batch([pa.array(np.concatenate(out_a), pa.int64()), pa.array(np.concatenate(out_b), pa.int64()), pa.array(np.concatenate(out_j), pa.float64())], names=["doc_a", "doc_b", "jaccard"])
+                lists = t.column("partners").slice(s, e - s).combine_chunks()
+                lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+                mine = np.repeat(np.arange(e - s), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                own = ids[s:e]  # sorted
+                to = np.searchsorted(own, lists.flatten().to_numpy(zero_copy_only=False))
+                shared, n = intersections(sets)[mine, to], np.array([len(x) for x in sets])
+                j = shared / (n[mine] + n[to] - shared)
+                ok = j >= threshold
+                for have, new in zip(found, (s + mine[ok], s + to[ok], j[ok])):
+                    have.append(new)
+            a, b, j = (np.concatenate(x) for x in found)
+            if not len(a):
+                continue
+            if not links:
+                yield pa.record_batch([pa.array(ids[a]), pa.array(ids[b]), pa.array(j)], names=["doc_a", "doc_b", "jaccard"])
+                continue
+            many = np.bincount(a, times[b], len(ids)) + np.bincount(b, times[a], len(ids))
+            node, low = _forest(a, b)  # places in one group, so none of two groups are joined
+            yield pa.record_batch([pa.array(ids[node]), pa.array(ids[low]), pa.array(many[node].astype(np.int64))], names=["id", "to", "n"])
 
     return f
 
 
-def _members(pairs: DataFrame) -> DataFrame:
-    """(id, comp) for the documents of candidate pairs."""
-    return written(components(pairs), "join-components")
-
+def _placed(pairs: DataFrame) -> DataFrame:
+    """(comp, bi, bj, id, partners): the documents that meet in each pair of blocks of a component, and whom each is to be compared with.
 
-def verified_pairs(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_a, doc_b, jaccard) of the pairs whose sets reach the threshold, counted exactly."""
-    comp = _members(pairs)
-    blocks = _blocked(comp, "comp", "id")
-    place = blocks.select("id", "comp", "block").distinct()
-    ends = pairs.join(place.select(F.col("id").alias("a"), "comp", F.col("block").alias("x")), "a").join(place.select(F.col("id").alias("b"), F.col("block").alias("y")), "b")
-    lists = ends.groupBy("comp", F.least("x", "y").alias("bi"), F.greatest("x", "y").alias("bj"), F.col("a").alias("id")).agg(F.collect_list("b").alias("partners"))
-    # a pair of one block is counted in that block's own group, a pair of two blocks in theirs
+    Rows are made from the pairs, so there are never more than two for each.
+    """
+    comp = written(components(pairs.where("link").select("a", F.explode("bs").alias("b"))), "join-components")
+    large = comp.groupBy("comp").agg(F.count("*").alias("n")).where(F.col("n") > SETS).select("comp", F.ceil(F.col("n") / SETS).cast("int").alias("blocks"))
+    place = comp.join(large, "comp", "left").select(F.col("id").alias("a"), "comp", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    ends = pairs.where("not link").join(place, "a").select("comp", "blocks", "a", F.explode("bs").alias("b"))
+    x, y = _block(F.col("a"), F.col("blocks")), _block(F.col("b"), F.col("blocks"))
+    both = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("partner")), F.struct(F.col("b").alias("id"), F.lit(None).cast("long").alias("partner")))
+    ends = ends.select("comp", F.least(x, y).alias("bi"), F.greatest(x, y).alias("bj"), F.explode(both).alias("end")).select("comp", "bi", "bj", "end.id", "end.partner")
+    return ends.groupBy("comp", "bi", "bj", "id").agg(F.collect_list("partner").alias("partners"))
+
+
+def _compared(docs: DataFrame, reps: DataFrame, pairs: DataFrame, threshold: float, links: bool) -> DataFrame:
+    placed = _placed(pairs)
     text = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
-    sets = text.join(comp.select("id"), "id", "left_semi").mapInArrow(_sets, "id bigint, grams binary")
-    used = lists.select("comp", "bi", "bj").distinct()
-    met = blocks.join(used, ["comp", "bi", "bj"], "left_semi").join(lists, ["comp", "bi", "bj", "id"], "left").join(sets, "id")
-    met = met.repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj", "id")
-    return met.select("comp", "bi", "bj", "id", "grams", "partners").mapInArrow(_verified(threshold), "doc_a bigint, doc_b bigint, jaccard double")
+    used = pairs.where("not link").select(F.explode(F.concat(F.array("a"), "bs")).alias("id")).distinct()
+    sets = text.join(reps.select("id", "copies").join(used, "id"), "id").select("id", "text", "copies").mapInArrow(_sets, "id bigint, copies bigint, grams binary")
+    met = placed.join(sets, "id").repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj", "id")
+    schema = "id bigint, to bigint, n bigint" if links else "doc_a bigint, doc_b bigint, jaccard double"
+    return met.select("comp", "bi", "bj", "id", "copies", "grams", "partners").mapInArrow(_verified(threshold, links), schema)
 
 
-def _collapsed(docs: DataFrame, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_a, id) of each document beside the smallest doc_id of its set, and the verified pairs of those smallest ones."""
-    sig = written(signatures(docs), "join-signatures")
-    reps = sig.groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig"))
+def _candidates_of(docs: DataFrame, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, same) of each document, (same, id, sig, copies) of each set, and the candidate pairs of sets."""
+    sig = written(signatures(docs).dropDuplicates(["id", "same"]), "join-signatures")
+    reps = sig.where("same is not null").groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig"), F.count("*").alias("copies"))
     reps = written(reps, "join-sets")
-    pairs = written(candidate_pairs(reps, threshold, tolerance), "join-pairs")
-    return sig.join(reps.select("same", F.col("id").alias("doc_a")), "same").select("doc_a", "id"), verified_pairs(docs, pairs, threshold)
+    return sig.select("id", "same"), reps, written(candidate_pairs(reps, threshold, tolerance), "join-pairs")
 
 
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """(doc_a, doc_b, jaccard), doc_a < doc_b: pairs whose sets of word n-grams have a Jaccard index of at least ``threshold``, copies collapsed.
 
     Documents with the same set are joined to the smallest doc_id among them, with 1.0, and only that one
-    takes part in the other pairs: what those links imply is left to full_join(). Documents that are null, or have no
-    words, and rows with a null doc_id join nothing. A text of fewer than three words has one n-gram, all its
-    words. Rows that repeat a doc_id don't pair with themselves; doc_id should be unique. Extra columns are
-    ignored. An empty table gives no pairs.
+    takes part in the other pairs. Documents that are null, or have no words, and rows with a null doc_id join
+    nothing. A text of fewer than three words has one n-gram, all its words. doc_id is an integer and should be unique; rows
+    that repeat a doc_id and its words are one document. Extra columns are ignored. An empty table gives no pairs.
     """
-    members, near = _collapsed(docs, threshold, tolerance)
-    return near.unionByName(members.where("id > doc_a").select("doc_a", F.col("id").alias("doc_b"), F.lit(1.0).alias("jaccard")))
-
-
-def _crossed(rows: DataFrame) -> DataFrame:
-    """All pairs of the ids in lists x and y, the smaller first; rows are spread before, since each gives up to BLOCK squared."""
-    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.select(F.explode("x").alias("p"), "y", "own", "jaccard").select("p", F.explode("y").alias("q"), "own", "jaccard")
-    # of a block with itself, each pair comes up in both orders
-    rows = rows.where("p < q or (p > q and not own)")
-    return rows.select(F.least("p", "q").alias("doc_a"), F.greatest("p", "q").alias("doc_b"), "jaccard")
+    members, reps, pairs = _candidates_of(docs, threshold, tolerance)
+    copies = members.join(reps.where("copies > 1").select("same", F.col("id").alias("doc_a")), "same").where("id > doc_a")
+    return _compared(docs, reps, pairs, threshold, False).unionByName(copies.select("doc_a", F.col("id").alias("doc_b"), F.lit(1.0).alias("jaccard")))
 
 
-def full_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """(doc_a, doc_b, jaccard), doc_a < doc_b: pairs whose sets of word n-grams have a Jaccard index of at least ``threshold``.
+def linked(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """(doc_id, class_id, n_links): for each non-null doc_id the smallest one that links connect it with, and with how many others it is linked.
 
-    Documents with the same set are compared with others once and then stand in every pair of theirs, with each
-    other and with all near ones; their lists are cut into blocks of ``BLOCK``, each pair of blocks a row of its
-    own, so there is no cap. Otherwise as jaccard_join().
+    A link is a pair of documents whose sets of word n-grams have a Jaccard index of at least ``threshold``, copies
+    included, and every one that jaccard_join() finds counts, also those that it leaves out between copies. A document
+    without any link, null and blank ones included, is a class of its own. Otherwise as jaccard_join().
     """
-    members, near = _collapsed(docs, threshold, tolerance)
-    members = members.distinct()
-    at = W.partitionBy("doc_a")
-    members = members.withColumn("n", F.count("*").over(at)).where("n > 1").withColumn("block", F.floor((F.row_number().over(at.orderBy("id")) - 1) / BLOCK))
-    lists = written(members.groupBy("doc_a", "block").agg(F.collect_list("id").alias("ids")), "join-copies")
-    other = lists.select("doc_a", F.col("block").alias("to"), F.col("ids").alias("y"))
-    alike = lists.withColumnRenamed("ids", "x").join(other, "doc_a").where("block <= to").select("x", "y", (F.col("block") == F.col("to")).alias("own"), F.lit(1.0).alias("jaccard"))
-    ends = near.join(lists.select("doc_a", F.col("ids").alias("x")), "doc_a", "left").join(lists.select(F.col("doc_a").alias("doc_b"), F.col("ids").alias("y")), "doc_b", "left")
-    ends = ends.select(F.coalesce("x", F.array("doc_a")).alias("x"), F.coalesce("y", F.array("doc_b")).alias("y"), F.lit(False).alias("own"), "jaccard")
-    return _crossed(ends.unionByName(alike))
+    members, reps, pairs = _candidates_of(docs, threshold, tolerance)
+    links = written(_compared(docs, reps, pairs, threshold, True), "join-links")
+    many = links.groupBy("id").agg(F.sum("n").alias("n"))
+    comp = components(links.select(F.col("id").alias("a"), F.col("to").alias("b")))
+    sets = reps.select("same", "id", "copies").join(many, "id", "left").join(comp, "id", "left")
+    sets = sets.select("same", F.coalesce("comp", "id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    # an id with several texts, which should not be, is in the smallest of their classes
+    return members.join(sets, "same", "left").groupBy(F.col("id").alias("doc_id")).agg(F.coalesce(F.min("class_id"), F.min("id")).alias("class_id"), F.coalesce(F.max("n_links"), F.lit(0)).cast("long").alias("n_links"))
 
 
 def near_duplicates_dropped(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Keep one document, that of the smallest doc_id, of each group that the join connects.
+    """Keep one document, that of the smallest doc_id, of each class of linked().
 
     All columns pass through. Rows that join nothing, null and blank ones included, stay.
     """
-    pairs = written(jaccard_join(docs, threshold).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), "join-result")
     (name,) = fresh(docs, "__id")
-    gone = components(pairs).where("id > comp").select(F.col("id").alias(name))
+    gone = linked(docs, threshold).where("doc_id > class_id").select(F.col("doc_id").alias(name))
     return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

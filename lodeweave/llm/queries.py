@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeweave.llm.jaccard_join import full_join
+from lodeweave.llm.jaccard_join import linked
 from lodeweave.llm.langid import identify
 from lodeweave.llm.line_dedup import line_dedup
 from lodeweave.llm.media import image_hashes, rendered
@@ -45,8 +45,8 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_op
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of documents whose sets of word n-grams reach the threshold, copies included."""
-    return full_join(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    """Each document's class of near duplicates, and with how many documents it is linked."""
+    return linked(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 @_op
