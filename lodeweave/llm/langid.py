@@ -1,13 +1,13 @@
 """Language ID by interpolated Kneser-Ney character language models in sorted hash arrays.
 
-A text is read as lower-case letters (the 250 most frequent ones of all languages together, any other as one symbol:
-this is for alphabetic scripts with no more letters in all), with everything between two runs of letters as one space. The models, one
-for each language of the labelled rows, are fitted on a sample of those rows that is bounded by ``TRAIN_CHARS``
-letters a language; the fit is a classifier's, so it is bounded, and its result is small enough to hand to every
-worker whatever the corpus. Every document is then scored over its whole text, in one pass without a shuffle.
-
-n-grams are kept as sorted arrays of 64-bit hashes. The probabilities of each 5-gram that any model has seen
-are worked out for all languages in advance, so that a symbol of text costs one search; other 5-grams back off
+A text is read as lower-case letters of any script, with everything between two runs of letters as one space. The
+models, one for each language of the labelled rows, are fitted on a sample of those rows that is bounded by
+``TRAIN_CHARS`` letters a language and ``MAX_LANGUAGES`` languages; the fit is a classifier's, so it is bounded, and its result
+is small enough to hand to every worker whatever the corpus. Every document is then scored over its whole text, in one pass
+without a shuffle.
+
+n-grams are kept as sorted arrays of 64-bit hashes of their code points. The probabilities of each 5-gram that any model has
+seen are worked out for all languages in advance, so that a symbol of text costs one search; other 5-grams back off
 through the orders. The language of the lowest cross-entropy for a symbol is chosen. It is rejected if that
 entropy is above a limit, calibrated on further labelled texts: halfway between theirs and that of their
 letters in a random order, with an allowance for short texts. The sample consists of stretches of texts, so long
@@ -30,13 +30,17 @@ ORDER = 5
 #: Bounds of the labelled sample, for each language: characters and stretches of text to fit on, and to calibrate with.
 TRAIN_CHARS, TRAIN_DOCS = 1_500_000, 4000
 HELD_CHARS, HELD_DOCS = 750_000, 1500
+#: Only so many languages get a model, those with the most labelled rows; a column of labels may hold rubbish.
+MAX_LANGUAGES = 200
 #: A stretch is at most this part of the smaller bound.
 STRETCHES = 150
 #: Fewest calibration texts of a language's own limit; with fewer, the others' are added. Standard deviations that a short text may be off.
 LEAST, DEVIATIONS = 30, 4.0
-_SPACE, _OTHER = 1, 2
+_SPACE = 1
 _CHUNK = 1 << 19
 _SEP = "\ud800"
+#: Powers of an odd number, by which the symbols of an n-gram are multiplied before they are added up and mixed.
+_POWERS = [np.uint64(pow(0x9E6C63D0876A3F35, k, 2**64)) for k in range(ORDER)]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -45,9 +49,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _key(codes: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of packed n-grams."""
-    return _mixed((codes & np.uint64((1 << 8 * n) - 1)) | np.uint64(n << 56))
+def keys(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n symbols that end at each place of x, which has 64-bit symbols."""
+    code = np.full(len(at), n, np.uint64)
+    for k in range(n):
+        code += x[at - k] * _POWERS[k]
+    return _mixed(code)
 
 
 @dataclass
@@ -81,88 +88,74 @@ class HashArray:
         return out
 
 
-class Alphabet:
-    """Code points to symbols: 0 between documents, 1 for what isn't a letter, 2 for unknown letters, then known ones."""
+def _letters() -> np.ndarray:
+    """For each code point its lower-case letter, SPACE for what isn't a letter, and 0 for what is between documents."""
+    out = np.full(0x110000, _SPACE, np.int32)
+    for c in range(0x110000):
+        x = chr(c)
+        if x.isalpha():
+            out[c] = ord(x.lower()[0])
+    out[ord(_SEP)] = 0
+    return out
 
-    def __init__(self, texts: list[str]) -> None:
-        counts = np.zeros(0x110000, np.int64)
-        held: list[str] = []
-        size = 0
-        for t in [*texts, None]:
-            if t is not None:
-                held.append(t.lower())
-                size += len(held[-1])
-            if held and (t is None or size >= _CHUNK):
-                counts += np.bincount(np.frombuffer("".join(held).encode("utf-32-le", "surrogatepass"), np.uint32), minlength=len(counts))
-                held, size = [], 0
-        letters = sorted((c for c in np.flatnonzero(counts) if chr(c).isalpha()), key=lambda c: (-counts[c], c))[:250]
-        self.table = np.full(0x110000, _SPACE, np.uint8)
-        known = {chr(c): k + 3 for k, c in enumerate(letters)}
-        for c in range(0x110000):
-            x = chr(c)
-            if x.isalpha():
-                self.table[c] = known.get(x.lower(), _OTHER)
-        self.table[ord(_SEP)] = 0
-
-    def symbols(self, texts: list[str]) -> np.ndarray:
-        """The texts' symbols, each text after ORDER - 1 zeros; runs of spaces are one, and none begins a text."""
-        out = []
-        for t in texts:
-            out.append(_SEP * (ORDER - 1) + t)
-        whole = "".join(out)
-        s = np.concatenate([self.table[np.frombuffer(whole[k : k + 4 * _CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)] for k in range(0, len(whole), 4 * _CHUNK)]) if whole else np.zeros(0, np.uint8)
-        drop = (s[1:] == _SPACE) & (s[:-1] <= _SPACE)
-        return s[np.append(True, ~drop)] if len(s) else s
-
-
-def packed(s: np.ndarray) -> np.ndarray:
-    """The ORDER symbols that end at each place from ORDER - 1 on, in one integer; what is between documents counts as a space."""
-    x = np.maximum(s, _SPACE)
-    n = len(x) - ORDER + 1
-    code = np.zeros(max(n, 0), np.uint64)
-    for k in range(ORDER):
-        code = code << np.uint64(8) | x[k : k + n].astype(np.uint64)
-    return code
+
+_LETTERS: list[np.ndarray] = []
+
+
+def symbols(texts: list[str]) -> np.ndarray:
+    """The texts' symbols, each text after ORDER - 1 zeros; runs of spaces are one, and none begins a text."""
+    if not _LETTERS:
+        _LETTERS.append(_letters())
+    whole = "".join(_SEP * (ORDER - 1) + t for t in texts)
+    parts = [_LETTERS[0][np.frombuffer(whole[k : k + 4 * _CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)] for k in range(0, len(whole), 4 * _CHUNK)]
+    s = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    drop = (s[1:] == _SPACE) & (s[:-1] <= _SPACE)
+    return s[np.append(True, ~drop)] if len(s) else s
+
+
+def wide(s: np.ndarray) -> np.ndarray:
+    """Symbols as keys() takes them; what is between documents counts as a space."""
+    return np.maximum(s, _SPACE).astype(np.uint64)
 
 
 class KneserNey:
-    """One language's interpolated model."""
-
-    def __init__(self, codes: np.ndarray) -> None:
-        grams, counts = np.unique(codes, return_counts=True)
-        tables = [(grams, counts)]
-        for n in range(ORDER - 1, 0, -1):
-            grams, counts = np.unique(tables[-1][0] & np.uint64((1 << 8 * n) - 1), return_counts=True)  # how many symbols each follows
-            tables.append((grams, counts))
+    """One language's interpolated model, of the n-grams that end at some places of x. ``base`` is the number of symbols that there may be."""
+
+    def __init__(self, x: np.ndarray, at: np.ndarray, base: int = 256) -> None:
+        self.base = base
+        tables = [(at, np.ones(len(at), np.int64))]
+        for n in range(ORDER, 0, -1):
+            # how often each n-gram occurs, then how many symbols each shorter one follows; and a place where it ends
+            where = tables[-1][0]
+            grams, first, counts = np.unique(keys(x, where, n), return_index=True, return_counts=True)
+            tables.append((where[first], counts))
         self.grams: list[HashArray] = []
         self.contexts: list[HashArray] = []
-        lower, p_lower = None, np.array([1 / 256])
-        for n, (grams, counts) in enumerate(reversed(tables), 1):
+        lower, p_lower = None, np.array([1 / base])
+        for n, (where, counts) in enumerate(reversed(tables[1:]), 1):
             ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
             d = min(0.95, max(0.1, ones / (ones + 2 * twos) if ones + twos else 0.5))
-            context = grams >> np.uint64(8)
-            first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-            total, kinds = np.add.reduceat(counts, first), np.diff(np.append(first, len(grams)))
+            grams = keys(x, where, n)  # sorted, as the places are in the order of np.unique()
+            context, of = np.unique(keys(x, where - 1, n - 1), return_inverse=True)
+            total, kinds = np.bincount(of, counts), np.bincount(of)
             gamma = d * kinds / total
-            of = np.repeat(np.arange(len(first)), kinds)
-            back = p_lower[0] if lower is None else p_lower[np.searchsorted(lower, grams & np.uint64((1 << 8 * (n - 1)) - 1))]
+            back = p_lower[0] if lower is None else p_lower[np.searchsorted(lower, keys(x, where, n - 1))]
             p = (counts - d) / total[of] + gamma[of] * back
-            self.grams.append(HashArray(_key(grams, n), np.log(p)))
-            self.contexts.append(HashArray(_key(context[first], n - 1), np.log(gamma)))
+            self.grams.append(HashArray(grams, np.log(p)))
+            self.contexts.append(HashArray(context, np.log(gamma)))
             lower, p_lower = grams, p
 
-    def logs(self, codes: np.ndarray) -> np.ndarray:
-        """The log probability of the last symbol of each packed ORDER-gram after the others."""
-        out = np.zeros(len(codes))
-        left = np.arange(len(codes))
+    def logs(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The log probability of the symbol at each place after the ORDER - 1 before it."""
+        out = np.zeros(len(at))
+        left = np.arange(len(at))
         for n in range(ORDER, 0, -1):
-            here = codes[left]
-            at = self.grams[n - 1].find(_key(here, n))
-            out[left[at >= 0]] += self.grams[n - 1].values[at[at >= 0]]
-            left, here = left[at < 0], here[at < 0]
-            at = self.contexts[n - 1].find(_key(here >> np.uint64(8), n - 1))
-            out[left[at >= 0]] += self.contexts[n - 1].values[at[at >= 0]]
-        out[left] -= np.log(256)
+            found = self.grams[n - 1].find(keys(x, at[left], n))
+            out[left[found >= 0]] += self.grams[n - 1].values[found[found >= 0]]
+            left = left[found < 0]
+            found = self.contexts[n - 1].find(keys(x, at[left] - 1, n - 1))
+            out[left[found >= 0]] += self.contexts[n - 1].values[found[found >= 0]]
+        out[left] -= np.log(self.base)
         return out
 
 
@@ -171,15 +164,21 @@ class Identifier:
 
     def __init__(self, train: dict[str, list[str]], held: dict[str, list[str]]) -> None:
         self.names = sorted(train)
-        self.alphabet = Alphabet([t for n in self.names for t in train[n]])
-        codes, self.models = [], []
-        for n in self.names:
-            s = self.alphabet.symbols(train[n])
-            c = packed(s)[s[ORDER - 1 :] > 0] if len(s) >= ORDER else np.zeros(0, np.uint64)
-            codes.append(c)
-            self.models.append(KneserNey(c if len(c) else np.array([_SPACE], np.uint64)))
-        seen = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.uint64)
-        self.union = HashArray(_key(seen, ORDER), np.stack([m.logs(seen) for m in self.models], 1).astype(np.float32)) if self.names else None
+        read = [symbols(train[n]) for n in self.names]
+        self.base = max(256, len(np.unique(np.concatenate(read))) + 1 if read else 0)
+        self.models, xs, places, size = [], [], [], 0
+        for s in read:
+            x = wide(s) if len(s) >= ORDER else np.full(ORDER, _SPACE, np.uint64)
+            at = np.flatnonzero(s > 0) if (s > 0).any() else np.array([ORDER - 1])
+            self.models.append(KneserNey(x, at, self.base))
+            xs.append(x)
+            places.append(at + size)
+            size += len(x)
+        self.union = None
+        if self.names:
+            x, at = np.concatenate(xs), np.concatenate(places)
+            seen, first = np.unique(keys(x, at, ORDER), return_index=True)
+            self.union = HashArray(seen, np.stack([m.logs(x, at[first]) for m in self.models], 1).astype(np.float32))
         self.limit, self.slack = np.full(len(self.names), np.inf), np.zeros(len(self.names))
         clean: list[tuple[np.ndarray, np.ndarray]] = []  # entropies by the own language, and numbers of symbols
         for k, name in enumerate(self.names):
@@ -216,7 +215,7 @@ class Identifier:
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy in nats for a symbol by each language, and the number of symbols; a final space isn't counted."""
-        s = self.alphabet.symbols(texts)
+        s = symbols(texts)
         total, n = np.zeros((len(texts), len(self.names))), np.zeros(len(texts), np.int64)
         if not len(s) or not self.names:
             return total, n
@@ -230,12 +229,14 @@ class Identifier:
             where = np.flatnonzero(scored[lo:hi])
             if not len(where):
                 continue
-            codes = packed(s[lo - ORDER + 1 : hi])[where]
-            at = self.union.find(_key(codes, ORDER))
-            logs = self.union.values[at].astype(np.float64) if len(self.union.values) else np.zeros((len(codes), len(self.names)))
+            x, places = wide(s[lo - ORDER + 1 : hi]), where + ORDER - 1
+            own = keys(x, places, ORDER)
+            at = self.union.find(own)
+            logs = self.union.values[at].astype(np.float64)
             if (new := at < 0).any():
-                unseen, which = np.unique(codes[new], return_inverse=True)
-                logs[new] = np.stack([m.logs(unseen) for m in self.models], 1)[which]
+                _, first, which = np.unique(own[new], return_index=True, return_inverse=True)
+                unseen = places[new][first]
+                logs[new] = np.stack([m.logs(x, unseen) for m in self.models], 1)[which]
             doc = np.searchsorted(begins, where + lo, side="right") - 1
             first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
             total[doc[first]] += np.add.reduceat(logs, first, axis=0)
@@ -256,11 +257,18 @@ class Identifier:
 def fit(docs: DataFrame, train_chars: int = TRAIN_CHARS, held_chars: int = HELD_CHARS) -> Identifier:
     """Fit on the labelled rows, those with a lang, in the order of a hash of doc_id: first the training sample, then the calibration sample.
 
-    Texts are cut into stretches; the sample takes one of each text, then another of each, until its bounds.
+    Texts are cut into stretches; the sample takes one of each text, then another of each, until its bounds. Totals by
+    language tell what part of its rows, by a hash, holds twice what is needed; only those are sorted, so a language
+    of most rows of a corpus isn't shuffled. Beyond ``MAX_LANGUAGES`` values of lang, the rarest get no model.
     """
     most = train_chars + held_chars
     size = max(1, min(train_chars, held_chars) // STRETCHES)
-    rows = docs.where("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", F.length("text").alias("len"), F.xxhash64(F.lit(11), F.col("doc_id").cast("long")).alias("h"))
+    rows = docs.where("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", F.length("text").alias("len"), F.xxhash64(F.lit(11), "doc_id").alias("h"))
+    totals = rows.groupBy("lang").agg(F.count("*").alias("many"), F.sum(F.least(F.lit(size), "len")).alias("chars")).orderBy(F.desc("many"), "lang").limit(MAX_LANGUAGES)
+    need = F.least(F.lit(float(TRAIN_DOCS + HELD_DOCS)) / F.col("many"), F.lit(float(most)) / F.greatest(F.col("chars"), F.lit(1)))
+    # at most MAX_LANGUAGES rows, so they may be broadcast whatever the input
+    rows = rows.join(F.broadcast(totals.select("lang", F.least(F.lit(1.0), need * 2).alias("part"))), "lang")
+    rows = rows.where(F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) <= F.col("part"))
     rows = rows.withColumn("of", F.greatest(F.lit(1), F.ceil(F.col("len") / size)).cast("long"))
     # more stretches of one text than the whole sample has are of no use
     rows = rows.withColumn("round", F.explode(F.sequence(F.lit(0), F.least(F.col("of"), F.lit(TRAIN_DOCS + HELD_DOCS)).cast("int") - 1)))
@@ -319,7 +327,8 @@ def identify(docs: DataFrame, model: Identifier | None = None) -> DataFrame:
 
     A null text and one without letters have no language and are rejected. Where two languages are equal, the
     first by name is taken. Without a ``model``, one is fitted on the rows of ``docs`` that have a lang; if there
-    are none, nothing has a language. Input columns of the added names are replaced; all others pass through.
+    are none, nothing has a language. Very long texts are scored whole, a piece at a time. doc_id may be of any type that
+    can be hashed. Input columns of the added names are replaced; all others pass through.
     Rows aren't joined or compared when scored, so repeated rows each get the same. An empty table gives an empty table.
     """
     own = ["lang_id", "lang_entropy", "lang_ok"]

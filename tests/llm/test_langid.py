@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from lodeweave.llm.langid import LEAST, ORDER, HashArray, Identifier, KneserNey, fit, identify, known_languages, packed
+from lodeweave.llm.langid import LEAST, ORDER, HashArray, Identifier, KneserNey, fit, identify, known_languages, symbols, wide
 
 WORDS = {
     "en": "the of and to in that it was for with he is on be at by his had from are".split(),
@@ -17,10 +17,9 @@ def text(name, n, rnd):
     return " ".join(rnd.choice(WORDS[name]) + rnd.choice(["", "", ",", "."]) for _ in range(n))
 
 
-def brute(codes):
-    """Interpolated Kneser-Ney by its definition; symbols as tuples."""
-    grams = Counter(tuple(int(c) >> 8 * k & 255 for k in range(ORDER - 1, -1, -1)) for c in codes)
-    tables = {ORDER: grams}
+def brute(grams, base=256):
+    """Interpolated Kneser-Ney by its definition; n-grams as tuples of symbols."""
+    tables = {ORDER: Counter(grams)}
     for n in range(ORDER - 1, 0, -1):
         tables[n] = Counter(g[1:] for g in tables[n + 1])
 
@@ -34,7 +33,7 @@ def brute(codes):
     def p(g):
         n = len(g)
         if n == 0:
-            return 1 / 256
+            return 1 / base
         after = {x: c for x, c in tables[n].items() if x[:-1] == g[:-1]}
         total = sum(after.values())
         if not total:
@@ -44,14 +43,51 @@ def brute(codes):
     return p
 
 
+def windows(x):
+    return [tuple(int(y) for y in x[k - ORDER + 1 : k + 1]) for k in range(ORDER - 1, len(x))]
+
+
 def test_probabilities_against_the_definition():
     rnd = random.Random(2)
-    s = np.array([rnd.choice([1, 3, 4, 5, 6, 6, 6]) for _ in range(300)], np.uint8)
-    codes = packed(s)
-    model, p = KneserNey(codes), brute(codes)
-    asked = packed(np.array([rnd.choice([1, 3, 4, 5, 6, 7, 2]) for _ in range(200)], np.uint8))
-    for c, got in zip(asked, model.logs(asked)):
-        assert math.isclose(got, math.log(p(tuple(int(c) >> 8 * k & 255 for k in range(ORDER - 1, -1, -1)))), rel_tol=1e-9)
+    x = np.array([rnd.choice([1, 97, 0x4E00, 0x1F600, 0x10FFFF, 0x10FFFF]) for _ in range(300)], np.uint64)
+    model, p = KneserNey(x, np.arange(ORDER - 1, len(x))), brute(windows(x))
+    asked = np.array([rnd.choice([1, 97, 0x4E00, 0x1F600, 0x10FFFF, 98, 2]) for _ in range(200)], np.uint64)
+    for g, got in zip(windows(asked), model.logs(asked, np.arange(ORDER - 1, len(asked)))):
+        assert math.isclose(got, math.log(p(g)), rel_tol=1e-9)
+
+
+def test_entropies_against_the_definition():
+    """Spaces folded, case and marks gone, each text by itself, a final space not counted."""
+    rnd = random.Random(5)
+    train = {x: [text(x, 6, rnd) for _ in range(4)] for x in ("de", "en")}
+    model = Identifier(train, {})
+
+    def read(t):
+        s = [ord(c) if c.isalpha() else 1 for c in t.lower()]
+        return [1] * (ORDER - 1) + [c for k, c in enumerate(s) if c != 1 or (k and s[k - 1] != 1)]
+
+    ps = [brute([g for t in train[n] for g in windows(read(t))], model.base) for n in model.names]
+    for t in ["The  und,", " of it ", "schön?! ??", "ж", "zzz aaa the der", *train["en"]]:
+        x = read(t)
+        if len(x) > ORDER - 1 and x[-1] == 1:
+            x.pop()
+        e, n = model.entropies([t])
+        assert n[0] == len(x) - ORDER + 1 and np.allclose(e[0], [-np.mean([math.log(p(g)) for g in windows(x)]) for p in ps], rtol=1e-6)
+    assert model.entropies(["", " 1 "])[1].tolist() == [0, 0]
+    assert wide(symbols(["ab"])).tolist() == [1] * (ORDER - 1) + [97, 98]
+
+
+def test_scripts_of_thousands_of_letters():
+    """Two languages of one script of 3,000 letters, and junk of their letters."""
+    rnd = random.Random(7)
+    han = [chr(0x4E00 + k) for k in range(3000)]
+    pools = {x: ["".join(rnd.choices(han, k=rnd.randint(1, 3))) for _ in range(4000)] for x in ("ja", "zh")}
+    say = lambda x, n: "".join(rnd.choice(pools[x]) for _ in range(n))
+    model = Identifier({x: [say(x, 300) for _ in range(150)] for x in pools}, {x: [say(x, 60) for _ in range(60)] for x in pools})
+    for x in pools:
+        names, _, ok = model.choose([say(x, 60) for _ in range(50)])
+        assert set(names) == {x} and sum(ok) >= 49
+    assert not any(model.choose(["".join(rnd.choices(han, k=100)) for _ in range(50)])[2])
 
 
 def test_hash_array():
@@ -125,3 +161,15 @@ def test_long_texts_are_fitted_on(spark):
     names, _, ok = model.choose(clean)
     assert set(names) == {"fr"} and all(ok) and np.isfinite(model.limit).all()
     assert not any(model.choose(["".join(rnd.sample(t, len(t))) for t in clean])[2])
+
+
+def test_equal_languages_and_too_many(spark, monkeypatch):
+    from lodeweave.llm import langid
+
+    rnd = random.Random(1)
+    same = [text("en", 20, rnd) for _ in range(40)]
+    assert set(Identifier({"b": same, "a": same}, {}).choose(same)[0]) == {"a"}
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = [(k, t, x) for k, (_, t, x) in enumerate(corpus(200))] + [(1000, "rubbish", "??"), (1001, "more", "!!")]
+    assert len(fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")).names) == 2
+
