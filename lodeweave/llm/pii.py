@@ -8,7 +8,8 @@ with which ``RECALL`` of the held-out positives is found, but at most one half.
 
 The labelled sentences, of which ``SENTENCES`` bounds the number, are composed here by a seeded generator: real data of
 this kind must not be collected to train on. They hold each kind in many formats, with and without telling words,
-and look-alikes: versions, dates, prices, identifiers, checksums, long words.
+and look-alikes: versions, dates, prices, identifiers, checksums, long words. Card numbers have a valid check digit and
+an issuer's prefix, as real ones do; other long numbers are look-alikes.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ SEED = 20240607
 _CONTEXT = 32
 
 _LINE = re.compile(r"[0-9@=:]")
-_LOCAL = re.compile(r"[\w.+\-%]{1,64}\Z")
-_DOMAIN = re.compile(r"@[^\W_](?:[\w\-]{0,62})(?:\.[\w\-]{1,63}){1,8}")
+#: From the start of a run of its characters to the last @ that follows it: linear, and of any length.
+_LOCAL = re.compile(r"(?<![\w.+\-%])[\w.+\-%]++(?=@)")
+_DOMAIN = re.compile(r"@[^\W_][\w\-]*+(?:\.[\w\-]++)++")
 _PATTERNS = [
     ("PHONE", re.compile(r"(?<![\w.])(?:\+|00)\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-/]?\d{2,4}){2,4}(?!\d)")),
     ("PHONE", re.compile(r"(?<![\w.+])\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)")),
@@ -52,7 +54,7 @@ _PATTERNS = [
     ("CARD", re.compile(r"(?<![\w])3\d{3}[ \-]\d{6}[ \-]\d{5}(?!\w)")),
     ("SSN", re.compile(r"(?<![\w\-])\d{3}[\- ]\d{2}[\- ]\d{4}(?![\w\-])")),
     ("IBAN", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
-    ("SECRET", re.compile(r"(?i:passw(?:or)?d|passphrase|pwd|token|secret|credentials?|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|auth)[\w\-]{0,16}[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;<>]{4,})")),
+    ("SECRET", re.compile(r"(?i:passw(?:or)?d|passphrase|pwd|token|secret|credentials?|api[_\- ]?key|access[_\- ]?key|private[_\- ]?key|auth)[\w\-]{0,64}+[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;<>]{4,})")),
     ("SECRET", re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+(?:\.[A-Za-z0-9_\-]{8,}+(?![+/])){0,2}={0,2}(?![A-Za-z0-9+/_\-])")),
 ]
 _WORDS = {
@@ -89,15 +91,12 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
                         found.update((at + m.start(1), at + m.end(1), kind) for m in pattern.finditer(line))
                 elif numbers or (kind == "SECRET" and keys):
                     found.update((at + m.start(), at + m.end(), kind) for m in pattern.finditer(line))
-            i = line.find("@")
-            while i >= 0:
-                left, right = _LOCAL.search(line, max(0, i - 64), i), _DOMAIN.match(line, i)
-                if left and right:
+            for left in _LOCAL.finditer(line) if "@" in line else ():
+                if right := _DOMAIN.match(line, left.end()):
                     end = right.end()
                     while line[end - 1] in ".-_":
                         end -= 1
                     found.add((at + left.start(), at + end, "EMAIL"))
-                i = line.find("@", i + 1)
         at += len(line) + 1
     return sorted(found)
 
@@ -110,6 +109,10 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+#: Issuers' prefixes and the lengths of their numbers.
+_ISSUED = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]\d\d|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)\d{12}|3[47]\d{13}|(?:6011|64[4-9]\d|65\d\d|62\d\d)\d{12,15}|35(?:2[89]|[3-8]\d)\d{12}|3(?:0[0-5]|[68]\d)\d{11}")
+
+
 def _mod97(s: str) -> bool:
     s = s.replace(" ", "")
     s = s[4:] + s[:4]
@@ -131,7 +134,7 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
     out = [float(kind == k) for k in KINDS]
     out += [len(s), len(digits), letters, upper / max(1, letters), entropy, turns / len(s), len(runs), max(map(len, runs), default=0)]
     out += [s.count("."), s.count("-"), s.count(" "), s.count("/"), s.count(":"), s.count("_"), float("(" in s), float(s[0] == "+"), float(s[0] == "0")]
-    out += [float(len(digits) >= 12 and kind == "CARD" and _luhn(digits)), float(digits[:1] in "3456" if digits else False)]
+    out += [float(len(digits) >= 12 and kind == "CARD" and _luhn(digits)), float(kind == "CARD" and _ISSUED.fullmatch(digits) is not None)]
     out += [float(len(octets) == 4 and max(octets) <= 255), float(octets[0]) if octets else -1.0]
     out += [float(kind == "IBAN" and s.isascii() and _mod97(s)), float(bool(re.fullmatch(r"[0-9a-fA-F]+", s))), float(_KEYS.match(s) is not None), float(_DATE.match(s) is not None)]
     out += [float(bool(digits) and letters > 0), float(s.islower()), float(bool(re.search(r"[aeiouyäöüéèáíó][bcdfghjklmnpqrstvwxz]{1,2}[aeiouyäöüéèáíó]", s.lower()))), float(len(digits) / len(s))]
@@ -151,6 +154,19 @@ def _sentence(rnd: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
         s = first + d(n - len(first) - 1)
         return next(s + x for x in string.digits if _luhn(s + x))
 
+    card = lambda n: luhn(n, pick(["4", "4", "4", *map(str, range(51, 56)), *map(str, range(2221, 2721, 50)), "6011", "65", "62", "3530", "3580"]))
+
+    def unlike(n: int) -> str:
+        """A long number that is no card's: a wrong check digit or no issuer's prefix."""
+        s = d(n)
+        return s if not _luhn(s) or not _ISSUED.fullmatch(s) else s[:-1] + str((int(s[-1]) + rnd.randint(1, 9)) % 10)
+
+    def assigned() -> str:
+        """A name, and what assigns a value to it."""
+        name = pick(["", "", "my_", "app_", "db-", "X-"]) + pick(["password", "passwd", "pwd", "passphrase", "secret", "api_key", "api-key", "access_key", "auth_token", "access_token", "client_secret", "private_key", "credentials"]) + pick(["", "", "", "_1", "_prod"])
+        name = pick([name, name, name.upper(), name.capitalize()])
+        return pick(["", "", "", '"', "export "]) + name + pick(["=", ": ", " : ", ":", ' = "', '="', "='", ": '", '": "'])
+
     def iban() -> str:
         body, land = d(rnd.choice([14, 16, 18, 20])), pick(["DE", "FR", "ES", "GB", "IT", "NL"])
         if land == "GB":
@@ -162,15 +178,15 @@ def _sentence(rnd: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
     octets = lambda: ".".join(str(rnd.randint(0 if k else 1, 255)) for k in range(4))
     hexes, alnum = "0123456789abcdef", string.ascii_letters + string.digits
     positive = {
-        "EMAIL": lambda: (pick(["", "", "mail ", "contact: ", "write to "]), pick([f"{word()}.{word()}", word(), f"{word()}{d(2)}", f"{word()}.{d(2)}", f"{word()}_{word()}+{word()}", f"{c(string.ascii_uppercase, 5)}"]) + "@" + pick([f"{word()}.com", f"mail{d(1)}.example.com", f"{word()}-{word()}.org", f"{word()}.co.uk", f"{word()}.de", "example.net"])),
-        "PHONE": lambda: (pick(["", "", "", "call ", "phone: ", "tel. ", "fax ", "mobile "]), pick([f"+1 ({d(3)}) 555-{d(4)}", f"+1 ({d(3)}) {d(3)}-{d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"+49 {d(3)} {d(7)}"[:17], f"+33 {d(1)} {d(2)} {d(2)} {d(2)} {d(2)}", f"+1-{d(3)}-{d(3)}-{d(4)}", f"{pick('23456789')}{d(2)}-{d(3)}-{d(4)}", f"+44 20 {d(4)} {d(4)}", f"0{pick('123456789')}{d(2)} {d(3)} {d(4)}", f"0{pick('123456789')} {d(2)} {d(2)} {d(2)} {d(2)}", f"{pick('23456789')}{d(2)}.{d(3)}.{d(4)}", f"+{d(2)}{d(9)}", f"0{d(2)} {d(7)}", f"0{d(3)}/{d(6)}"])),
+        "EMAIL": lambda: (pick(["", "", "mail ", "contact: ", "write to "]), pick([f"{word()}.{word()}", word(), f"{word()}{d(2)}", f"{word()}-{word()}", f"{d(3)}{word()}", f"{word()}_{word()}+{word()}", f"{c(string.ascii_uppercase, 5)}"]) + "@" + pick([f"{word()}.com", f"{word()}{d(2)}.{word()}.net", f"{word()}.{word()}.{word()}.edu", f"{word()}-{word()}.org", f"{word()}.co.uk", f"{word()}.de"])),
+        "PHONE": lambda: (pick(["", "", "", "call ", "phone: ", "tel. ", "fax ", "mobile "]), pick([f"+{d(2)} ({d(2)}) {d(4)} {d(4)}", f"+{d(2)} ({d(3)}) {d(6)}", f"+1 {d(3)} {d(3)} {d(4)}", f"+1.{d(3)}.{d(3)}.{d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"+49 {d(3)} {d(7)}"[:17], f"+33 {d(1)} {d(2)} {d(2)} {d(2)} {d(2)}", f"+1-{d(3)}-{d(3)}-{d(4)}", f"{pick('23456789')}{d(2)}-{d(3)}-{d(4)}", f"+44 20 {d(4)} {d(4)}", f"0{pick('123456789')}{d(2)} {d(3)} {d(4)}", f"0{pick('123456789')} {d(2)} {d(2)} {d(2)} {d(2)}", f"{pick('23456789')}{d(2)}.{d(3)}.{d(4)}", f"+{d(2)}{d(9)}", f"0{d(2)} {d(7)}", f"0{d(3)}/{d(6)}"])),
         "IP": lambda: (pick(["", "", "", "from ", "host ", "ip "]), octets() if rnd.random() < 0.85 else ":".join(c(hexes, rnd.randint(1, 4)) for _ in range(8))),
-        "CARD": lambda: (pick(["", "", "", "card ", "visa "]), pick([lambda: luhn(16, pick("45")), lambda: "4" + d(15), lambda: "5" + pick("12345") + d(14), lambda: pick("456") + d(15), lambda: " ".join((x := luhn(16, pick("456")))[k : k + 4] for k in (0, 4, 8, 12)), lambda: "-".join((x := luhn(16, pick("45")))[k : k + 4] for k in (0, 4, 8, 12)), lambda: luhn(15, pick(["34", "37"]))])()),
+        "CARD": lambda: (pick(["", "", "", "card ", "visa "]), pick([lambda: card(16), lambda: card(16), lambda: " ".join((x := card(16))[k : k + 4] for k in (0, 4, 8, 12)), lambda: "-".join((x := card(16))[k : k + 4] for k in (0, 4, 8, 12)), lambda: luhn(15, pick(["34", "37"])), lambda: f"{(x := luhn(15, pick(['34', '37'])))[:4]} {x[4:10]} {x[10:]}", lambda: luhn(19, "6")])()),
         "SSN": lambda: (pick(["", "", "ssn ", "social security "]), f"{rnd.randint(1, 899):03d}-{rnd.randint(1, 99):02d}-{rnd.randint(1, 9999):04d}"),
         "IBAN": lambda: (pick(["", "", "iban ", "account "]), iban()),
         "SECRET": lambda: pick([
-            lambda: (pick(["password=", "password: ", "passwd=", "pwd = ", 'password = "', "Passphrase: "]), pick([c(hexes, rnd.randint(8, 24)), c(alnum + "!#%&*+", rnd.randint(8, 20)), word() + d(rnd.randint(2, 4)), word().capitalize() + d(2) + "!"])),
-            lambda: (pick(["token = \"", "token=", "access_token: ", "api_key = ", "api-key: \"", "secret=", "auth_token='"]), pick([c(hexes, pick([32, 40, 64])), c(alnum, rnd.randint(16, 48))])),
+            lambda: (assigned(), pick([c(hexes, rnd.randint(8, 24)), c(alnum + "!#%&*+", rnd.randint(8, 20)), word() + d(rnd.randint(2, 4)), word().capitalize() + d(2) + "!"])),
+            lambda: (assigned(), pick([c(hexes, pick([20, 24, 32, 36, 48, 56, 64])), c(alnum, rnd.randint(16, 48)), c(alnum + "_-", rnd.randint(20, 80))])),
             lambda: (pick(["", "", "", "key "]), "AKIA" + c(string.ascii_uppercase + string.digits, 16)),
             lambda: (pick(["", ""]), pick(["ghp_" + c(alnum, 36), "sk-" + c(alnum, 40), "xoxb-" + d(11) + "-" + c(alnum, 24), "AIza" + c(alnum + "_-", 35), "glpat-" + c(alnum, 20)])),
             lambda: (pick(["", "Bearer "]), "eyJ" + c(alnum, 30) + "." + "eyJ" + c(alnum, 60) + "." + c(alnum + "_-", 43)),
@@ -191,6 +207,9 @@ def _sentence(rnd: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
         lambda: f"https://{word()}.com/{word()}/{word()}-{word()}-{word()}/{d(rnd.randint(1, 8))}",
         lambda: "".join(word() for _ in range(rnd.randint(3, 9))) + pick(["", "-" + word() + "-" + word(), d(1), "." + d(1)]),
         lambda: f"{rnd.randint(0, 9)}.{d(rnd.randint(8, 15))}",
+        lambda: unlike(pick([13, 14, 15, 16, 16, 16, 17, 18, 19, 20])),
+        lambda: pick([unlike(16), luhn(16, pick(["0", "1", "7", "8", "9", "20", "28", "50", "59", "34", "66"]))]),
+        lambda: d(rnd.randint(11, 12)),
         lambda: f"{rnd.randint(1, 9)} {d(3)} {d(3)} {d(3)}",
         lambda: f"{rnd.randint(1, 9)},{d(3)},{d(3)},{d(3)}",
         lambda: f"{rnd.randint(-90, 90)}.{d(4)}, {rnd.randint(-180, 180)}.{d(4)}",
@@ -354,7 +373,8 @@ def redact(docs: DataFrame, model: Detector | None = None) -> DataFrame:
     """Replaces personal data and secrets in text by [KIND]; adds redactions, an array of (start, end, kind, probability), and n_redactions.
 
     start and end are places in the original text, in code points. A null text has nulls, one without any finds is
-    unchanged, with an empty array. Texts of any length are searched whole. Input columns of the added names are
+    unchanged, with an empty array. Texts of any length are searched whole, and addresses and secrets may have any length. Of
+    spans that are equal in probability the longest and then the first is taken. Input columns of the added names are
     replaced; others pass through. Rows aren't joined or compared, so repeated rows each get the same. An empty table
     gives an empty table.
     """

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 
 from lodeweave.llm import boosting
-from lodeweave.llm.pii import KINDS, _sentence, candidates, fit, redact
+from lodeweave.llm.pii import KINDS, _luhn, _sentence, candidates, features, fit, redact
 
 
 def test_trees_and_calibration():
@@ -37,20 +37,26 @@ def test_held_out_accuracy():
     assert wrong <= 0.02 * 3000
 
 
-def test_planted_strings_and_look_alikes():
+def test_formats_held_out_of_training_and_look_alikes():
+    """No template of the generator has these formats: three-part domains with a digit, +1 (...) numbers, forty hexadecimal digits as a token."""
     rnd, model = random.Random(3), fit()
     d = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
     word = lambda: "".join(rnd.choice("therionsa") for _ in range(rnd.randint(2, 8)))
     hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+
+    def card():
+        base = "4" + d(14)
+        return next(base + c for c in "0123456789" if _luhn(base + c))
+
     hit = n = 0
     for _ in range(400):
-        secret = rnd.choice([f"{word()}.{d(2)}@mail{d(1)}.example.com", f"+1 ({rnd.randint(200, 999)}) 555-{d(4)}", ".".join(str(rnd.randint(1, 255)) for _ in range(4)), "4" + d(15), hexes(40), "AKIA" + "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))])
+        secret = rnd.choice([f"{word()}.{d(2)}@mail{d(1)}.example.com", f"+1 ({rnd.randint(200, 999)}) 555-{d(4)}", ".".join(str(rnd.randint(1, 255)) for _ in range(4)), card(), hexes(40), "AKIA" + "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))])
         lead = 'token = "' if len(secret) == 40 else ""
         text = " ".join(word() for _ in range(20)) + " " + lead + secret + ('"' if lead else "") + " " + " ".join(word() for _ in range(20))
         n += 1
         hit += any(text[s:e] == secret for s, e, _, _ in model.found(text))
     assert hit >= 0.985 * n
-    clean = ["Version 2.0, January 2004", "on 2021-03-14 at 10:20:30", "see ISBN 978-3-16-148410-0", "commit 3f76bb46f51625a07193ae74d1cc485f188b9b5d", "costs $1,234,567.00 in total", "Donaudampfschifffahrtsgesellschaft und mehr", "CC BY-NC 4.0.", "the token: a unit of text", "release 10.0.3.17 of the firmware", "1998-2004"]
+    clean = ["Version 2.0, January 2004", "on 2021-03-14 at 10:20:30", "see ISBN 978-3-16-148410-0", "commit 3f76bb46f51625a07193ae74d1cc485f188b9b5d", "costs $1,234,567.00 in total", "Donaudampfschifffahrtsgesellschaft und mehr", "CC BY-NC 4.0.", "the token: a unit of text", "release 10.0.3.17 of the firmware", "1998-2004", "item 9807915762804491 of the list", "number 0000123456789012 again"]
     assert [t for t in clean if model.found(t)] == []
     assert [t for _ in range(300) if model.found(t := " ".join(word() + rnd.choice(["", ",", "."]) for _ in range(50)))] == []
 
@@ -84,3 +90,48 @@ def test_long_secrets_go_whole(spark):
         assert any(t[s:e] == x for s, e, _ in candidates(t)), k
     got = {r.doc_id: r.text for r in redact(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert got == {k: f"words before {lead}[SECRET] and words after" for k, (lead, _) in enumerate(made)}
+
+
+def test_trees_scores_and_choice_against_plain_versions():
+    model, rnd = fit(), random.Random(21)
+    texts = [_sentence(rnd)[0] for _ in range(120)]
+    for t in texts:
+        spans = candidates(t)
+        x = np.array([features(t, *s) for s in spans])
+        p = model.judge(x) if spans else []
+        for row, q in zip(x, p):
+            score = model.trees.base
+            for f, cut, v in zip(model.trees.feature, model.trees.threshold, model.trees.value):
+                node = 0
+                for _ in range(model.trees.depth):
+                    node = 2 * node + (2 if row[f[node]] > cut[node] else 1)
+                score += v[node - (2**model.trees.depth - 1)]
+            a, b = model.scale
+            assert abs(q - 1 / (1 + np.exp(-(a * score + b)))) < 1e-9
+        taken = []
+        for q, (s, e, k) in sorted(zip(p, spans), key=lambda y: (-y[0], y[1][0] - y[1][1], y[1][0])):
+            if q >= model.threshold[k] and all(e <= a or b <= s for a, b, _ in taken):
+                taken.append((s, e, k))
+        assert sorted(taken) == [y[:3] for y in model.found(t)]
+
+
+def test_addresses_against_a_search_over_all_spans():
+    rnd = random.Random(4)
+    local, label = set("ab1.+-_%"), set("ab1-_")
+    for _ in range(3000):
+        t = "".join(rnd.choice("ab1.-_+@ ") for _ in range(rnd.randint(3, 14)))
+        want = set()
+        for i in (k for k, c in enumerate(t) if c == "@"):
+            starts = [a for a in range(i) if set(t[a:i]) <= local]
+            ends = [e for e in range(i + 2, len(t) + 1) if t[i + 1] in "ab1" and "." in t[i + 1 : e] and all(x and set(x) <= label for x in t[i + 1 : e].split("."))]
+            if starts and ends:
+                want.add((min(starts), i + 1 + len(t[i + 1 : max(ends)].rstrip(".-_"))))
+        assert {(a, e) for a, e, k in candidates(t) if k == "EMAIL"} == want, t
+
+
+def test_long_addresses_go_whole(spark):
+    rnd = random.Random(5)
+    word = lambda n: "".join(rnd.choice("therionsa") for _ in range(n))
+    made = [f"{word(70)}.{word(9)}@{word(6)}.com", f"{word(5)}@{word(80)}.{word(5)}.org", f"{word(3000)}@{word(6)}.net"]
+    rows = [(k, f"write to {x} today") for k, x in enumerate(made)]
+    assert [r.text for r in redact(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()] == ["write to [EMAIL] today"] * 3
