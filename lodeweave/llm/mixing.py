@@ -31,6 +31,8 @@ LEAF, FAN_BITS = 4096, 8
 
 
 _EPS = 1e-9
+#: What travels up the tree: the document itself, so that hashes which collide don't mix up two documents' decisions.
+_ROW = ("doc_id", "source", "src", "depth", "h")
 
 
 def _weights(sizes: DataFrame, power: float) -> DataFrame:
@@ -107,8 +109,8 @@ def _rounded(level: int, seed: int):
             rest = np.full(len(p), np.nan)
             if at >= 0:
                 rest[at] = have
-            columns = [*(t.column(c).combine_chunks() for c in ("src", "depth", "h")), pa.array(up.astype(np.int32)), pa.array(rest, from_pandas=True)]
-            return pa.RecordBatch.from_arrays([c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns], names=["src", "depth", "h", "up", "rest"])
+            columns = [*(t.column(c).combine_chunks() for c in _ROW), pa.array(up.astype(np.int32)), pa.array(rest, from_pandas=True)]
+            return pa.RecordBatch.from_arrays([c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns], names=[*_ROW, "up", "rest"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -134,7 +136,8 @@ def copies(docs: DataFrame, weights: DataFrame | None = None, budget: float | No
     mixture's size in characters; without one it is the least by which no document of a source with a weight
     occurs less than once, so that mixing repeats and loses nothing. Weights that are null or not positive, and
     missing ones, give 0 copies. A null or empty text counts 0 characters; the documents of a source without any
-    characters occur once without a budget, else not. Rows that share doc_id and source are one document
+    characters occur once without a budget, else not; a very long text is but a number of characters. Documents of equal
+    fraction are told apart by their hashes, and equal hashes by doc_id. doc_id is an integer. Rows that share doc_id and source are one document
     with one decision; a null doc_id or source is a value like others. An empty table gives no rows. Extra columns
     are ignored.
     """
@@ -147,23 +150,25 @@ def copies(docs: DataFrame, weights: DataFrame | None = None, budget: float | No
     plan = written(plan.select(F.col("source").alias("__source"), F.xxhash64(F.lit(seed), "source").alias("src"), depth.alias("depth"), base.cast("int").alias("base"), (F.col("expected") - base).alias("p")), "mix-plan")
     deepest = plan.agg(F.max("depth")).first()[0] or 0
     known = units.join(plan, F.col("source").eqNullSafe(F.col("__source"))).select("doc_id", "source", "src", "depth", "base", "p", F.xxhash64(F.lit(seed), "doc_id", "source").alias("h"))
-    at, level, decided = known.select("src", "depth", "h", "p"), 0, []
+    at, level, decided = known.select(*_ROW, "p"), 0, []
     while True:
         left = F.greatest(F.lit(0), F.col("depth") - level * FAN_BITS)
         node = F.when(left == 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftrightunsigned", "h", 64 - left))
-        ordered = at.withColumn("node", node).repartition("src", "node").sortWithinPartitions("src", "node", "h")
-        out = written(ordered.mapInArrow(_rounded(level, seed), "src bigint, depth int, h bigint, up int, rest double"), "mix-level")
-        decided.append(out.where("rest is null").select("src", "h", "up"))
-        at = out.where("rest is not null").select("src", "depth", "h", F.col("rest").alias("p"))
+        ordered = at.withColumn("node", node).repartition("src", "node").sortWithinPartitions("src", "node", "h", "doc_id")
+        out = written(ordered.mapInArrow(_rounded(level, seed), "doc_id bigint, source string, src bigint, depth int, h bigint, up int, rest double"), "mix-level")
+        decided.append(out.where("rest is null").select("doc_id", "source", "up"))
+        at = out.where("rest is not null").select(*_ROW, F.col("rest").alias("p"))
         if level * FAN_BITS >= deepest:
             break
         level += 1
     # what a source's root is left with is rounded by itself
     chance = F.pmod(F.xxhash64(F.lit(seed + 1), "h"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    ups = at.select("src", "h", (chance < F.col("p")).cast("int").alias("up"))
+    ups = at.select("doc_id", "source", (chance < F.col("p")).cast("int").alias("up"))
     for x in decided:
         ups = ups.unionByName(x)
-    return known.join(ups, ["src", "h"]).select("doc_id", "source", (F.col("base") + F.col("up")).cast("int").alias("copies"))
+    # units are distinct, so each has one decision; nulls are values
+    same = F.col("k.doc_id").eqNullSafe(F.col("u.doc_id")) & F.col("k.source").eqNullSafe(F.col("u.source"))
+    return known.alias("k").join(ups.alias("u"), same).select("k.doc_id", "k.source", (F.col("base") + F.col("up")).cast("int").alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None) -> DataFrame:

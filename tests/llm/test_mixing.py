@@ -57,3 +57,26 @@ def test_edges(spark):
     assert {r.copies for r in copies(docs, spark.createDataFrame([("b", None), ("z", 1.0)], "source string, weight double")).collect()} == {0, 1}
     empty = spark.createDataFrame([], schema)
     assert copies(empty).count() == 0 and mixed(empty).count() == 0
+
+
+def test_inclusion_probabilities_through_the_tree(spark, monkeypatch):
+    """Over many documents of few fractions, as many as each fraction says are rounded up; colliding hashes keep documents apart."""
+    monkeypatch.setattr(mixing, "LEAF", 8)
+    monkeypatch.setattr(mixing, "FAN_BITS", 1)
+    docs = spark.range(60).selectExpr("id as doc_id", "repeat('x', 3) as text", "if(id < 40, 'a', 'b') as source")
+    weights = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, weight double")
+    ups = defaultdict(int)
+    for seed in range(12):
+        for r in copies(docs, weights, 150, seed=seed).collect():
+            ups[r.doc_id] += r.copies - (0 if r.source == "a" else 1)
+    # 25 copies' worth of 40 and of 20 documents: 0.625 and 1.25 each
+    means = np.array([ups[i] / 12 for i in range(60)])
+    assert np.abs(means[:40] - 0.625).max() < 0.6 and np.abs(means[40:] - 0.25).max() < 0.6
+    assert abs(means[:40].mean() - 0.625) < 0.03 and abs(means[40:].mean() - 0.25) < 0.03
+
+
+def test_equal_hashes(spark, monkeypatch):
+    monkeypatch.setattr(mixing.F, "xxhash64", lambda *c: mixing.F.lit(5).cast("long"))
+    docs = spark.range(50).selectExpr("id as doc_id", "'xy' as text", "'a' as source")
+    got = copies(docs, spark.createDataFrame([("a", 1.0)], "source string, weight double"), 30).collect()
+    assert len(got) == 50 and sum(r.copies for r in got) == 15 and {r.copies for r in got} == {0, 1}
