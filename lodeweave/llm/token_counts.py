@@ -40,17 +40,21 @@ def encoding(ranks_file: str) -> tiktoken.Encoding:
     return _LOADED[ranks_file]
 
 
-def safe_parts(text: str, most: int = SPLIT_BYTES) -> list[str]:
-    """Parts of about ``most`` characters, each longer only as far as no safe place follows."""
+def safe_parts(text: str, most: int = SPLIT_BYTES) -> list[tuple[str, int]]:
+    """Parts of about ``most`` bytes in UTF-8, each longer only as far as no safe place follows, and their bytes."""
     out, at = [], 0
-    while len(text) - at > most:
-        cut = _SAFE.search(text, at + most)
+    while (len(text) - at) * 4 > most:
+        piece = text[at : at + most].encode("utf-8", "surrogatepass")
+        if len(piece) <= most and at + most >= len(text):
+            break
+        here = at + len(piece[:most].decode("utf-8", "ignore")) if len(piece) > most else at + most
+        cut = _SAFE.search(text, max(here, at + 1))
         if cut is None:
             break
         out.append(text[at : cut.start()])
         at = cut.start()
     out.append(text[at:])
-    return out
+    return [(x, len(x.encode("utf-8", "surrogatepass"))) for x in out]
 
 
 def _counted(ranks_file: str, column: int, names: list[str], batch_bytes: int, split_bytes: int):
@@ -72,10 +76,10 @@ def _counted(ranks_file: str, column: int, names: list[str], batch_bytes: int, s
 
             for i, text in enumerate(texts):
                 text = text.as_py()
-                for part in safe_parts(text, split_bytes) if text else ():
+                for part, n in safe_parts(text, split_bytes) if text else ():
                     parts.append(part)
                     rows.append(i)
-                    size += len(part)
+                    size += n
                     if size >= batch_bytes:
                         flush()
             if parts:
@@ -89,7 +93,8 @@ def token_counts(docs: DataFrame, ranks_file: str, batch_bytes: int = BATCH_BYTE
     """The columns of ``docs`` without ``text``, and n_tokens, the number of tokens of the whole text.
 
     A null text has a null count, an empty one 0. Strings that look like special tokens are ordinary text. An
-    input column n_tokens is replaced; other columns pass through. Rows aren't joined or compared, so repeated
+    input column n_tokens is replaced; a very long text is counted in parts, but a stretch without a safe place, such as
+    a single word, goes to the library whole, whatever its length; other columns pass through. Rows aren't joined or compared, so repeated
     rows each get their count. An empty table gives an empty table.
     """
     docs = docs.drop("n_tokens")

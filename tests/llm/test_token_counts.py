@@ -21,10 +21,22 @@ def test_parts_add_up():
     for _ in range(600):
         t = "".join(rnd.choice(["a", "é", "s", "'", "ll", " ", "  ", "\n", "\t", "1", "23", ".", "!?", "日本", "́", "<|endoftext|>", "🙂", "　"]) for _ in range(rnd.randint(0, 60)))
         parts = safe_parts(t, 3)
+        assert all(n == len(x.encode()) for x, n in parts)
+        parts = [x for x, _ in parts]
         assert "".join(parts) == t
         assert [x for p in parts for x in ids(p)] == ids(t), (t, parts)
 
 
+def test_parts_are_of_bytes_and_long_words_go_whole(spark):
+    for c in "aé日🙂":
+        parts = safe_parts(f"{c * 9} " * 3000, 1000)
+        assert all(n <= 1000 + 40 for _, n in parts) and min(n for _, n in parts[:-1]) >= 1000 - 4
+    long = "ab cd, " * 1_500_000
+    rows = [(1, long), (2, "一" * 50_000)]
+    got = {r.doc_id: r.n_tokens for r in token_counts(spark.createDataFrame(rows, "doc_id long, text string"), FILE).collect()}
+    assert got == {i: len(whole()(t)) for i, t in rows} and len(long) > 10_000_000
+
+
 def test_tables(spark):
     ids = whole()
     long = "It's the and, of 12 words.\n" * 30000
