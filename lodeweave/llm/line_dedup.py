@@ -7,6 +7,11 @@ longest common prefixes of neighbours in that order give, through a stack over t
 suffix's longest run that also occurs earlier in the corpus (by doc_id, then line number). Those runs are the
 later copies of the maximal repeated runs; where one has at least ``min_words`` words, its lines are deleted.
 
+Two reductions before that change no result and take out what would be hot. A block of under ``min_words`` words can
+hold no run of so many, nor a copy of one, so it goes: a line that nearly every document has, such as a blank one, stands
+mostly in such blocks. Of blocks that are equal from end to end only the first goes on; a later one is a copy as
+a whole, and whatever is a copy of a part of it is one of the same part of the first.
+
 Every shuffle except the last, by which the masks meet the texts, moves fixed-width rows of repeated lines.
 """
 
@@ -61,6 +66,18 @@ def _blocks(lines: DataFrame) -> DataFrame:
     return gap.select("id", "pos", "words", "r0", F.min("pos").over(whole).alias("blk"), (F.max("pos").over(whole) - F.col("pos") + 1).alias("rem"), F.sum("words").over(block).alias("cw"))
 
 
+def _reduced(blocks: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """The lines of the first of each kind of block with enough words, and (id, pos, n) of the later ones' first lines, n being the block's length."""
+    each = blocks.groupBy("id", "blk").agg(F.sum("words").alias("w"), F.sort_array(F.collect_list(F.struct("pos", "r0"))).alias("s")).where(F.col("w") >= min_words)
+    each = each.select("id", "blk", F.size("s").alias("len"), F.sha2(F.array_join(F.transform("s", lambda x: x["r0"].cast("string")), ","), 256).alias("kind"))
+    each = written(each, "line-kinds")
+    # partial aggregates leave a row for each kind and task, so a kind that a third of all blocks are of isn't gathered in one
+    first = each.groupBy("kind").agg(F.min(F.struct("id", "blk")).alias("f")).select("f.*")
+    later = each.join(first, ["id", "blk"], "left_anti").select("id", "blk", "len")
+    own = blocks.join(first, ["id", "blk"])
+    return own.select(*blocks.columns), later.select("id", F.col("blk").alias("pos"), F.col("len").alias("n"))
+
+
 def suffix_ranks(blocks: DataFrame, rounds: int) -> DataFrame:
     """Prefix doubling. Adds rs, the ranks by the first 1, 2, 4, ... lines; the last orders whole suffixes.
 
@@ -163,14 +180,18 @@ def deletion_masks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, mask): for each document that loses lines, an array of booleans, true where a line is deleted."""
     spark: SparkSession = docs.sparkSession
     blocks = written(_blocks(repeated_lines(docs)), "line-blocks")
-    longest = blocks.agg(F.max("rem")).first()[0] or 0
+    own, copied = _reduced(blocks, min_words)
+    own = written(own, "line-firsts")
+    longest = own.agg(F.max("rem")).first()[0] or 0
     if longest == 0:
         return spark.createDataFrame([], "id bigint, mask array<boolean>")
-    ranked = suffix_ranks(blocks, int(longest - 1).bit_length())
-    suffixes = _common(ranked, blocks)
+    ranked = suffix_ranks(own, int(longest - 1).bit_length())
+    suffixes = _common(ranked, own)
     runs = suffixes.repartition("r0").sortWithinPartitions("r0", "r", "id", "pos").select("r0", "id", "pos", "lcp").mapInPandas(_earlier_runs, "id bigint, pos int, n int")
-    each = blocks.select("id", "pos", "words").join(runs, ["id", "pos"], "left")
-    by = each.groupBy("id").agg(F.collect_list(F.struct("pos", "words", F.coalesce("n", F.lit(0)).alias("n"))).alias("s"), F.max(F.coalesce("n", F.lit(0))).alias("any")).where("any > 0")
+    # all repeated lines of a document, as a run is a stretch of them
+    found = written(runs.where("n > 0").unionByName(copied), "line-runs")
+    each = blocks.join(found.select("id").distinct(), "id", "left_semi").select("id", "pos", "words").join(found, ["id", "pos"], "left")
+    by = each.groupBy("id").agg(F.collect_list(F.struct("pos", "words", F.coalesce("n", F.lit(0)).alias("n"))).alias("s"))
     return by.select("id", _mask("s.pos", "s.words", "s.n", F.lit(min_words)).alias("mask")).where("mask is not null")
 
 
@@ -179,7 +200,8 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     The first copy, by (doc_id, line number), stays. Lines are what lies between newlines, compared byte for
     byte; words are what white space separates. Null texts and rows with a null doc_id stay as they are, with 0
-    lines deleted; an empty text is one empty line, of no words. Rows that share a doc_id are taken for one
+    lines deleted; an empty text is one empty line, of no words. doc_id is an integer. Ties don't arise, as places differ;
+    a very long text is but many lines. Rows that share a doc_id are taken for one
     place of the corpus with interleaved lines, so doc_id should be unique; with repeated rows the same mask
     applies to each. A document that loses all its lines keeps its row, with an empty text. Extra columns
     pass through; an input column ``lines_deleted`` is replaced. An empty table gives an empty table.

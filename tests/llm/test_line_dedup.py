@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lodeweave.llm.line_dedup import line_dedup
+from lodeweave.llm.line_dedup import _blocks, _reduced, line_dedup, repeated_lines
 
 
 def brute(rows, least):
@@ -44,3 +44,14 @@ def test_edges(spark):
     got = {r.doc_id: (r.text, r.lines_deleted) for r in out.collect()}
     assert got == {1: (None, 0), None: ("x y z\nx y z", 0), 2: ("", 0), 3: ("", 0), 4: (long, 0), 5: ("", 3000), 6: ("x y z", 0)}
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_hot_lines_and_copies_stay_out_of_the_suffix_array(spark):
+    """A blank line in every document and a passage in a third of them leave one copy of the passage to be sorted."""
+    passage = "\n".join(f"line {k} of a passage that a third of all documents have" for k in range(6))
+    rows = [(i, f"own {i} words\n\nmore own {i} words\n\n" + (f"{passage}\n\nend {i}" if i % 3 == 0 else f"end {i}")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own, copied = _reduced(_blocks(repeated_lines(docs)), 50)
+    assert own.count() <= 8 and copied.count() == 99
+    got = {r.doc_id: (r.text, r.lines_deleted) for r in line_dedup(docs).collect()}
+    assert got == brute(rows, 50) and sum(n > 0 for _, n in got.values()) == 99
