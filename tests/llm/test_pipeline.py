@@ -48,7 +48,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     boss = {i: i for i in sets}
     for a in sorted(sets):
         for b in sorted(sets):
-            if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.5:
+            if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= corpus_pipeline.NEAR:
                 x, y = sorted((boss[a], boss[b]))
                 boss = {i: x if v == y else v for i, v in boss.items()}
     assert {r[0] for r in single} == {i for i, v in boss.items() if i == v} and len(single) < len(lined)
@@ -65,3 +65,22 @@ def test_stages_against_brute_force(spark, tmp_path):
     theirs = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
     assert Counter(r[0] for r in coded) == n and all(list(r[5]) == theirs.encode(r[1]) and theirs.decode(list(r[5])) == r[1] for r in coded)
     assert sorted(r[0] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(r[0] for r in coded)
+
+
+def test_edges_of_each_stage(spark):
+    """Nulls in any column, empty texts, repeated rows, clashing extra columns and empty tables."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, lang_ok int, lines_deleted int, __id int, copies int, token_ids int"
+    rnd = random.Random(3)
+    say = lambda n: " ".join(rnd.choice(WORDS["en"]) for _ in range(n))
+    plain = [(i, say(30), "en", "s", 9, *[7] * 5) for i in range(100)]
+    long = " ".join(f"{a}{b}" for a in WORDS["en"][:120] for b in WORDS["en"][:120])
+    odd = [(None, say(20), "en", "s", 9, *[7] * 5), (201, None, "en", "s", 9, *[7] * 5), (202, "", None, None, None, *[None] * 5), (203, long, None, None, None, *[7] * 5), plain[0]]
+    docs, empty = spark.createDataFrame(plain + odd, schema), spark.createDataFrame([], schema)
+    want = {"language ID": {202, 201}, "line dedup": set(), "near duplicates": set(), "mixture": set(), "tokens": set()}
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, "").collect()
+        assert list(got[0].asDict())[:5] == list(corpus_pipeline.COLUMNS) and len(got[0]) == (6 if name == "tokens" else 5) or name == "tokens"
+        ids = Counter(r.doc_id for r in got)
+        assert {r[0] for r in plain + odd} - set(ids) == want[name], name
+        assert ids[0] == 2 * ids[1] or name == "mixture"
+        assert stage(spark, empty, "").count() == 0, name
