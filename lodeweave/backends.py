@@ -43,6 +43,22 @@ class Backend:
     listener: Callable[[], Listener]
     reader: Callable[..., str]
     tokenizer: object | None = None
+    #: What records say of the models; None: the settings' models, which such a backend must load.
+    facts: dict[str, str] | None = None
+    #: Whether it needs the accelerator that the settings ask for.
+    accelerated: bool = True
+
+
+_DTYPES = ("bfloat16", "float16", "float32")
+
+
+def dtype(name: str) -> object:
+    """The library's type of a name in the settings; ValueError for one that no model here is loaded with."""
+    if name not in _DTYPES:
+        raise ValueError(f"{name!r} is none of {', '.join(_DTYPES)}")
+    import torch
+
+    return getattr(torch, name)
 
 
 def fatal(error: BaseException) -> bool:
@@ -159,4 +175,5 @@ def tone_backend(fail: Callable[[str, int], bool] = lambda text, seed: False) ->
 
         return listen
 
-    return Backend("tone", speaker, listener, lambda text, kana=True: text)
+    made_up = dict.fromkeys(("tts_model_id", "tts_model_revision", "tts_speaker_id", "tts_dtype", "qc_asr_model_id", "qc_asr_model_revision"), "tone")
+    return Backend("tone", speaker, listener, lambda text, kana=True: text, facts=made_up, accelerated=False)

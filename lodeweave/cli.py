@@ -20,7 +20,7 @@ CONFIG = "LODEWEAVE_CONFIG"
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lodeweave", description="Build, check and release a parallel speech corpus.")
     p.add_argument("--config", type=Path, default=os.environ.get(CONFIG), help=f"settings; ${CONFIG} by default")
-    p.add_argument("--backend", default="lodeweave.backends:tone_backend", help="module:function that makes the speech backend")
+    p.add_argument("--backend", help="module:function that makes the speech backend; only smoke-test has one of its own, of tones")
     sub = p.add_subparsers(dest="command", required=True)
     for name, what in (("prepare", "archives to manifest"), ("plan", "shard sizes and storage"), ("build", "everything, going on where a run broke off"), ("smoke-test", "everything, with a few pairs")):
         sub.add_parser(name, help=what)
@@ -29,7 +29,10 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def _backend(name: str) -> Any:
+def _backend(name: str | None, trial: bool = False) -> Any:
+    if name is None and not trial:
+        raise ValueError("--backend must name a speech backend")
+    name = name or "lodeweave.backends:tone_backend"
     module, _, function = name.partition(":")
     return getattr(importlib.import_module(module), function)()
 
@@ -44,6 +47,7 @@ def run(spark: SparkSession, args: argparse.Namespace, c: Any) -> dict[str, Any]
         return shards.run(spark, c, _backend(args.backend), args.shard_index)
     if args.command == "consolidate":
         return shards.consolidate(spark, c, args.allow_incomplete)
+    backend = _backend(args.backend, args.command == "smoke-test")
     done: dict[str, Any] = {"preparation": prepare(spark, c)}
     if args.command == "smoke-test":
         done["selection"] = shards.trial_manifest(spark, c)
@@ -53,7 +57,7 @@ def run(spark: SparkSession, args: argparse.Namespace, c: Any) -> dict[str, Any]
         if args.command == "build" and not done["plan"][limit]:
             raise ValueError(f"the manifest is too large for {what}")
     shards.room(spark, c.run.output_dir, c.run.minimum_free_gib)
-    shards.run(spark, c, _backend(args.backend))
+    shards.run(spark, c, backend)
     done["release"] = shards.consolidate(spark, c)
     if args.command == "smoke-test":
         done["release"]["all_pairs_accepted"] = done["release"]["accepted_pairs"] == c.run.max_pairs_per_shard

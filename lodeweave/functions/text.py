@@ -36,9 +36,7 @@ def _composed(text: str) -> str:
     return unicodedata.normalize("NFKC", html.unescape(text))
 
 
-@F.arrow_udf(T.StringType())
-def composed(text: pa.Array) -> pa.Array:
-    """HTML entities decoded once, then NFKC; null for null."""
+def _composed_batch(text: pa.Array) -> pa.Array:
     plain = pc.and_(pc.string_is_ascii(text), pc.invert(pc.match_substring(text, "&")))
     if isinstance(text, pa.ChunkedArray):
         text, plain = text.combine_chunks(), plain.combine_chunks()
@@ -48,6 +46,18 @@ def composed(text: pa.Array) -> pa.Array:
     return pa.array(values, pa.string())
 
 
+_ONCE = F.arrow_udf(_composed_batch, T.StringType()).asNondeterministic()
+
+
+def composed(text: Column) -> Column:
+    """HTML entities decoded once, then NFKC; null for null.
+
+    It counts as non-deterministic, so that the optimiser neither copies it into each expression that uses its result nor
+    moves a filter on such an expression below it.
+    """
+    return _ONCE(text)
+
+
 def without_controls(text: Column) -> Column:
     """Control characters other than white space, and zero-width ones, deleted."""
     return F.regexp_replace(text, CONTROL, "")

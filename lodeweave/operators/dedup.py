@@ -19,22 +19,25 @@ def split_order() -> Column:
     return F.when(F.col("split") == "test", 1).otherwise(0)
 
 
+def _own(key: str) -> Column:
+    return F.coalesce(F.col(key), F.concat(F.lit("\0"), F.col("pair_id").cast("string")))
+
+
 def ranked(rows: DataFrame, key: str = "fingerprint", order: list[Column] | None = None) -> DataFrame:
     """Adds copy: 1 for the row that stays of those with one key, in the order of ingestion, then 2, 3, ...
 
     Rows of a null key are copies of nothing. Ties in the order are broken by pair_id.
     """
     order = order or [phase(), split_order(), F.col("source_index"), F.col("pair_id")]
-    n = F.row_number().over(W.partitionBy(key).orderBy(*order))
+    # a key of the row's own in place of a null one, so that such rows don't meet in one task
+    n = F.row_number().over(W.partitionBy(_own(key)).orderBy(*order))
     return rows.withColumn("copy", F.when(F.col(key).isNull(), 1).otherwise(n))
 
 
 def first_copies(rows: DataFrame, key: str = "fingerprint", order: list[Column] | None = None) -> DataFrame:
     """Only the rows that stay. Spark cuts each partition to one row a key before the shuffle."""
     order = order or [phase(), split_order(), F.col("source_index"), F.col("pair_id")]
-    # a null key is replaced by one of the row's own
-    own = F.coalesce(F.col(key), F.concat(F.lit("\0"), F.col("pair_id").cast("string")))
-    return rows.withColumn("__copy", F.row_number().over(W.partitionBy(own).orderBy(*order))).where(F.col("__copy") == 1).drop("__copy")
+    return rows.withColumn("__copy", F.row_number().over(W.partitionBy(_own(key)).orderBy(*order))).where(F.col("__copy") == 1).drop("__copy")
 
 
 def accounting(rows: DataFrame) -> DataFrame:

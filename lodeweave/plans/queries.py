@@ -105,7 +105,7 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as candidates with ids, priorities and bins."""
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     split = F.when(F.col("doc_id") % 10 == 0, "dev").when(F.col("doc_id") % 10 == 1, "test").otherwise("train")
-    df = d.select("doc_id", F.col("doc_id").alias("source_index"), F.when(F.col("doc_id") % 3 == 0, "kftt").otherwise("jesc").alias("corpus"), split.alias("split"), X.normalized_plain(F.col("text")).alias("ja_norm"), F.col("lang").alias("en_norm"))
+    df = d.select("doc_id", F.col("doc_id").alias("source_index"), F.when(F.col("doc_id") % 3 == 0, "kftt").otherwise("jesc").alias("corpus"), split.alias("split"), X.normalized(F.col("text")).alias("ja_norm"), F.col("lang").alias("en_norm"))
     df = df.select("*", X.script_units(F.col("ja_norm")).cast("long").alias("ja_chars"), X.latin_words(F.col("ja_norm")).cast("long").alias("en_words"), ids.fingerprint(F.col("ja_norm"), F.col("en_norm")).alias("fingerprint"))
     df = df.withColumn("pair_id", ids.pair_id(F.col("corpus"), F.col("split"), F.col("source_index"), F.col("fingerprint")))
     return df.select("*", ids.priority(SEED, F.col("pair_id")).alias("priority"), ids.length_bin(F.col("ja_chars"), SHORT, MEDIUM).alias("length_bin"), ids.spoken_seconds(F.col("ja_chars"), PER_SECOND, PADDING).alias("estimated_ja_seconds"))
@@ -146,7 +146,7 @@ def _long(c: str | Column) -> Column:
 
 @query("normalize_text", f"SELECT doc_id, {_norm('text')} AS norm FROM documents")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", X.normalized_plain(F.col("text")).alias("norm"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", X.normalized(F.col("text")).alias("norm"))
 
 
 def _entities(x: str) -> str:
@@ -187,15 +187,19 @@ def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", _long(X.latin_words(t)).alias("words"), _long(X.script_units(t)).alias("units"), _long(X.ascii_letters(t)).alias("ascii_letters"), _long(X.letters(t)).alias("letters"))
 
 
-@query("cer", "SELECT n_name, p_brand, CASE WHEN length(n_name) = 0 THEN 1 ELSE 1 END * levenshtein(n_name, p_brand)::DOUBLE / greatest(length(n_name), 1) AS cer FROM nation CROSS JOIN (SELECT DISTINCT p_brand FROM part)")
+@query("cer", "SELECT p_partkey, levenshtein(p_name, p_type)::DOUBLE / greatest(length(p_name), 1) AS cer FROM part")
 def cer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    brands = table(spark, sf_dir, "part").select("p_brand").distinct()
-    return table(spark, sf_dir, "nation").select("n_name").crossJoin(F.broadcast(brands)).select("n_name", "p_brand", rates.character_error_rate(F.col("n_name"), F.col("p_brand")).alias("cer"))
+    """Each part's type as if it were a transcript of its name; both are ASCII, as DuckDB's distance is by byte."""
+    return table(spark, sf_dir, "part").select("p_partkey", rates.character_error_rate(F.col("p_name"), F.col("p_type")).alias("cer"))
 
 
-@query("wer")
+@query("wer", r"""WITH p AS (SELECT u.conv_id, u.turn, list_filter(regexp_split_to_array(u.text, '[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{3000}]+'), lambda w: w <> '') AS r,
+    list_filter(regexp_split_to_array(a.text, '[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{3000}]+'), lambda w: w <> '') AS h FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'),
+  k AS (SELECT *, list_distinct(list_concat(r, h)) AS known FROM p), c AS (SELECT conv_id, turn, list_transform(r, lambda w: list_position(known, w)::BIGINT) AS r, list_transform(h, lambda w: [list_position(known, w)::BIGINT]) AS h FROM k),
+  d AS (SELECT conv_id, turn, len(r) AS n, list_reduce(h, lambda before, x: list_reduce(list_transform(range(1, len(r) + 1), lambda i: [i]), lambda now, i: list_append(now, least(before[i[1] + 1] + 1, now[i[1]] + 1, before[i[1]] + CASE WHEN r[i[1]] = x[1] THEN 0 ELSE 1 END)), [before[1] + 1]), range(0, len(r) + 1)) AS last FROM c)
+  SELECT conv_id, turn, last[n + 1]::DOUBLE / greatest(n, 1) AS wer FROM d""")
 def wer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn's answer against the turn, word by word; tests compare it with a plain dynamic programme."""
+    """Each turn's answer against the turn, word by word; the SQL is a dynamic programme over lists."""
     return _pairs(spark, sf_dir).select("conv_id", "turn", rates.word_error_rate(F.col("ja_raw"), F.col("en_raw")).alias("wer"))
 
 

@@ -95,12 +95,23 @@ def _judged(tried: DataFrame, records: DataFrame, backend: Backend, c: Any) -> D
     return attempts.checked(df, {"ja": c.qc.max_ja_cer, "en": c.qc.max_en_wer}, c.qc.min_duration_seconds, c.qc.max_duration_seconds)
 
 
+def _tried(spark: SparkSession, c: Any, backend: Backend, made: DataFrame, records: DataFrame) -> None:
+    """Make and check attempts, and write what came of them."""
+    tried = written(generated(made, backend, str(c.run.output_dir), c.run.num_shards, c.tts.output_sample_rate, c.qc.min_duration_seconds, c.qc.max_duration_seconds, c.run.resume, c.run.save_native), "tried")
+    if tried.isEmpty():
+        return
+    new = _judged(tried, records, backend, c).join(records.select("pair_id", "shard"), "pair_id")
+    new.withColumn("written_at", F.current_timestamp()).write.mode("append").partitionBy("shard").parquet(_folder(c, "generated"))
+
+
 def run(spark: SparkSession, c: Any, backend: Backend, index: int | None = None) -> dict[str, int]:
     """Speak and check one shard or all that aren't finished; gives how many pairs were accepted and rejected.
 
-    Each attempt's results are written before the next begins, so a run that breaks off goes on from there. An
-    attempt that has failed isn't made again under its number. ValueError if finished shards had other settings.
+    Results are written after every ``checkpoint_every`` attempts for each core, so a run that breaks off goes on from there.
+    ValueError where the backend needs an accelerator that isn't there. An attempt that has failed isn't made again under its number. ValueError if finished shards had other settings.
     """
+    if backend.accelerated:
+        accelerator(c)
     within_limit(spark, c)
     rows = manifests.read_manifest(spark, str(c.run.input_jsonl))
     over = manifest.shard_counts(rows, c.run.num_shards).where(F.col("pairs") > c.run.max_pairs_per_shard).limit(1).collect()
@@ -128,13 +139,14 @@ def run(spark: SparkSession, c: Any, backend: Backend, index: int | None = None)
         missing = attempts.missing(goal if number == 0 else attempts.unpassed(goal, have), have, number)
         text = F.when(F.col("language") == "ja", F.col("ja_tts_text")).otherwise(F.col("en_tts_text"))
         made = missing.join(records.select("pair_id", "shard", "ja_tts_text", "en_tts_text"), "pair_id").select("pair_id", "language", "shard", F.lit(number).alias("attempt"), text.alias("text"))
-        tried = written(generated(made, backend, str(c.run.output_dir), c.run.num_shards, c.tts.output_sample_rate, c.qc.min_duration_seconds, c.qc.max_duration_seconds, c.run.resume, c.run.save_native), "tried")
-        if tried.isEmpty():
-            continue
-        new = _judged(tried, records, backend, c).join(records.select("pair_id", "shard"), "pair_id")
-        new.write.mode("append").partitionBy("shard").parquet(_folder(c, "generated"))
+        made = written(made, "wanted")
+        # so many attempts for each core are made before their results are written, and at most these are lost
+        waves = max(1, -(-made.count() // (c.run.checkpoint_every * spark.sparkContext.defaultParallelism)))
+        for wave in range(waves):
+            some = made.where(F.pmod(F.xxhash64(F.lit(number), "pair_id", "language"), F.lit(waves)) == wave)
+            _tried(spark, c, backend, some, records)
     every = attempts.nested(_attempts(spark, c, todo))
-    facts = {"tts_model_id": c.tts.model_id, "tts_model_revision": c.tts.revision, "tts_speaker_id": c.tts.speaker, "tts_dtype": c.tts.dtype, "qc_asr_model_id": c.asr.model_id, "qc_asr_model_revision": c.asr.revision}
+    facts = backend.facts or {"tts_model_id": c.tts.model_id, "tts_model_revision": c.tts.revision, "tts_speaker_id": c.tts.speaker, "tts_dtype": c.tts.dtype, "qc_asr_model_id": c.asr.model_id, "qc_asr_model_revision": c.asr.revision}
     final = written(attempts.finalized(records.join(every, "pair_id", "left"), facts), "final")
     sinks.write_shards(final, _folder(c, "qc"))
     sinks.write_shards(release.rejected(final), str(c.run.output_dir / "failures"))
@@ -150,7 +162,9 @@ def _attempts(spark: SparkSession, c: Any, shards: list[int]) -> DataFrame:
     if not Path(_folder(c, "generated")).exists():
         return spark.createDataFrame([], attempts.ATTEMPT).withColumns({"pair_id": F.lit(""), "language": F.lit("")})
     rows = spark.read.parquet(_folder(c, "generated")).where(F.col("shard").isin(shards)).drop("shard")
-    return rows.dropDuplicates(["pair_id", "language", "attempt"])
+    rest = [c for c in rows.columns if c != "written_at"]
+    first = rows.groupBy("pair_id", "language", "attempt").agg(F.min_by(F.struct(*rest), "written_at").alias("row"))
+    return first.select("row.*")
 
 
 def consolidate(spark: SparkSession, c: Any, allow_incomplete: bool = False) -> dict[str, Any]:

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import glob
+import hashlib
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,5 +62,18 @@ def stored_bytes(spark: SparkSession, folder: str) -> int:
 
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, sha256) of all files below a folder."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.sha2("content", 256).alias("sha256"))
+    """(path, sha256) of all files below a folder; a file of any size is read a piece at a time."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for path in batch.column(0).to_pylist():
+                system, place = pa.fs.FileSystem.from_uri(path)
+                whole = hashlib.sha256()
+                with system.open_input_stream(place) as f:
+                    while piece := f.read(1 << 20):
+                        whole.update(piece)
+                out.append(whole.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["path", "sha256"])
+
+    return inventory(spark, folder).select("path").mapInArrow(hashed, "path string, sha256 string")

@@ -26,9 +26,16 @@ def _moved(spark: SparkSession, part: str, path: str) -> None:
     jvm = spark.sparkContext._jvm
     a, b = jvm.org.apache.hadoop.fs.Path(part), jvm.org.apache.hadoop.fs.Path(path)
     system = b.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.delete(b, True)
+    old = jvm.org.apache.hadoop.fs.Path(f"{part}.old")
+    had = system.exists(b)
+    if had and not system.rename(b, old):
+        raise OSError(f"{path} can't be put aside")
     if not system.rename(a, b):
+        if had:
+            system.rename(old, b)
         raise OSError(f"{part} can't be renamed to {path}")
+    if had:  # only now, so that the old or the new output is whole at any time
+        system.delete(old, True)
 
 
 def write_lines(rows: DataFrame, path: str, order: list[str] | None = None) -> None:

@@ -137,3 +137,16 @@ def test_release(spark):
     assert [r.shard for r in release.missing_shards(rows, 4).orderBy("shard").collect()] == [1, 3] and [r.pair_id for r in release.ordered(rows).collect()] == ["b", "a", "c"]
     assert release.rejected(rows).count() == 1
     assert ids.pcm16_gib(0) == 0
+
+
+def test_texts_are_normalised_once_and_null_keys_are_spread(spark):
+    pairs = spark.createDataFrame([("jesc", JA_ONE, "This is a valid sentence.")] * 4, "corpus string, ja_raw string, en_raw string")
+    plan = rules.histogram(rules.classified(pairs), "corpus")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.index("Filter") < plan.index("ArrowEvalPython")
+    rows = spark.range(1000).selectExpr("concat('p', id) as pair_id", "cast(null as string) as fingerprint", "'jesc' as corpus", "'train' as split", "id as source_index")
+    got = dedup.ranked(rows)
+    assert got.where("copy <> 1").count() == 0
+    assert got.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).filter(lambda n: n > 500).count() == 0
+
+
+JA_ONE = "駅に着いたら私に電話してください。"

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from lodeweave.plans import queries as _  # noqa: F401
+from lodeweave.plans import flows as _  # noqa: F401
 from lodeweave.plans import registry
 
 DATA = "/root/testdata/sf0.001"

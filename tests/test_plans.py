@@ -99,6 +99,45 @@ def test_cli_needs_a_file(monkeypatch):
         cli.main(["plan"])
 
 
+def test_honest_runs(spark, corpus, monkeypatch):
+    """No made-up speech unasked, provenance from the backend, an accelerator where one is needed, nothing lost that was written."""
+    raw = settings(corpus, checkpoint_every=1, num_shards=1)
+    rows = [{"pair_id": f"p{k}", "corpus": "jesc", "split": "train", "ja_text": JA[k % 5] + str(k), "en_text": EN[k % 5]} for k in range(20)]
+    (corpus / "manifest.jsonl").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    c = config.settings(raw, https=False)
+    with pytest.raises(ValueError, match="--backend"):
+        cli.run(spark, cli.parser().parse_args(["run-shard", "--shard-index", "0"]), c)
+    real = Backend("real", None, None, None)
+    with pytest.raises(ValueError, match="CUDA"):
+        shards.run(spark, c, real)
+    made, once = [], shards._tried
+
+    def breaks(*a):
+        once(*a)
+        made.append(1)
+        if len(made) == 2:
+            raise KeyboardInterrupt
+
+    monkeypatch.setattr(shards, "_tried", breaks)
+    with pytest.raises(KeyboardInterrupt):
+        shards.run(spark, c, tone_backend())
+    have = shards._attempts(spark, c, [0]).count()
+    assert 0 < have < 40
+    assert shards.run(spark, c, tone_backend()) == {"accepted": 20, "rejected": 0} and len(made) > 2
+    done = spark.read.parquet(shards._folder(c, "qc")).collect()
+    assert {(r.tts_model_id, r.qc_asr_model_id) for r in done} == {("tone", "tone")} and all(len(r.attempts.ja) == len(r.attempts.en) == 1 for r in done)
+    assert spark.read.parquet(shards._folder(c, "generated")).count() == 40
+
+
+def test_old_output_stays_if_the_new_one_fails(spark, tmp_path, monkeypatch):
+    sinks.write_rows(spark.range(3), str(tmp_path / "x"))
+    with pytest.raises(Exception, match="boom"):
+        sinks.write_rows(spark.range(3).select(F.raise_error(F.lit("boom")).alias("x")), str(tmp_path / "x"))
+    assert spark.read.parquet(str(tmp_path / "x")).count() == 3
+    sinks.write_rows(spark.range(4), str(tmp_path / "x"))
+    assert spark.read.parquet(str(tmp_path / "x")).count() == 4 and not list(tmp_path.glob("*.old"))
+
+
 def test_config(tmp_path):
     raw = settings(tmp_path)
     for s in raw["sources"].values():
