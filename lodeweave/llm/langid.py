@@ -51,10 +51,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def keys(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n symbols that end at each place of x, which has 64-bit symbols."""
-    code = np.full(len(at), n, np.uint64)
-    for k in range(n):
-        code += x[at - k] * _POWERS[k]
-    return _mixed(code)
+    out = np.full(len(at), n, np.uint64)
+    for lo in range(0, len(at), _CHUNK):  # in pieces, so that what is in between stays small
+        part = at[lo : lo + _CHUNK]
+        for k in range(n):
+            out[lo : lo + _CHUNK] += x[part - k] * _POWERS[k]
+        out[lo : lo + _CHUNK] = _mixed(out[lo : lo + _CHUNK])
+    return out
 
 
 @dataclass
@@ -123,16 +126,17 @@ class KneserNey:
 
     def __init__(self, x: np.ndarray, at: np.ndarray, base: int = 256) -> None:
         self.base = base
-        tables = [(at, np.ones(len(at), np.int64))]
+        tables: list[tuple[np.ndarray, np.ndarray]] = []
+        where = at
         for n in range(ORDER, 0, -1):
             # how often each n-gram occurs, then how many symbols each shorter one follows; and a place where it ends
-            where = tables[-1][0]
-            grams, first, counts = np.unique(keys(x, where, n), return_index=True, return_counts=True)
-            tables.append((where[first], counts))
+            _, first, counts = np.unique(keys(x, where, n), return_index=True, return_counts=True)
+            where = where[first]
+            tables.append((where, counts))
         self.grams: list[HashArray] = []
         self.contexts: list[HashArray] = []
         lower, p_lower = None, np.array([1 / base])
-        for n, (where, counts) in enumerate(reversed(tables[1:]), 1):
+        for n, (where, counts) in enumerate(reversed(tables), 1):
             ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
             d = min(0.95, max(0.1, ones / (ones + 2 * twos) if ones + twos else 0.5))
             grams = keys(x, where, n)  # sorted, as the places are in the order of np.unique()
@@ -164,19 +168,21 @@ class Identifier:
 
     def __init__(self, train: dict[str, list[str]], held: dict[str, list[str]]) -> None:
         self.names = sorted(train)
-        read = [symbols(train[n]) for n in self.names]
-        self.base = max(256, len(np.unique(np.concatenate(read))) + 1 if read else 0)
-        self.models, xs, places, size = [], [], [], 0
-        for s in read:
+        letters = [np.unique(symbols(train[n])) for n in self.names]
+        self.base = max(256, len(np.unique(np.concatenate(letters))) + 1 if letters else 0)
+        self.models, grams = [], []
+        for n in self.names:
+            s = symbols(train[n])
             x = wide(s) if len(s) >= ORDER else np.full(ORDER, _SPACE, np.uint64)
-            at = np.flatnonzero(s > 0) if (s > 0).any() else np.array([ORDER - 1])
+            at = np.flatnonzero(s > 0).astype(np.int32) if (s > 0).any() else np.array([ORDER - 1], np.int32)
             self.models.append(KneserNey(x, at, self.base))
-            xs.append(x)
-            places.append(at + size)
-            size += len(x)
+            # each n-gram once, with its own symbols, so that no whole sample need be kept for all languages at once
+            _, first = np.unique(keys(x, at, ORDER), return_index=True)
+            grams.append(x[at[first][:, None] + np.arange(1 - ORDER, 1)].reshape(-1))
         self.union = None
         if self.names:
-            x, at = np.concatenate(xs), np.concatenate(places)
+            x = np.concatenate(grams)
+            at = np.arange(ORDER - 1, len(x), ORDER)
             seen, first = np.unique(keys(x, at, ORDER), return_index=True)
             self.union = HashArray(seen, np.stack([m.logs(x, at[first]) for m in self.models], 1).astype(np.float32))
         self.limit, self.slack = np.full(len(self.names), np.inf), np.zeros(len(self.names))
@@ -288,7 +294,9 @@ def fit(docs: DataFrame, train_chars: int = TRAIN_CHARS, held_chars: int = HELD_
     for *_, name, text in rows:
         sizes[name] = sizes.get(name, 0) + len(text)
     had = dict.fromkeys(sizes, 0)
-    for *_, name, text in rows:
+    rows.reverse()
+    while rows:
+        *_, name, text = rows.pop()
         # a language with less than the bounds is shared out in the same proportion
         had[name] += len(text)
         (train if name not in train or had[name] <= sizes[name] * train_chars / most else held).setdefault(name, []).append(text)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 SIDE, KEPT = 32, 8
 #: Pixel values that are unfiltered together.
 _TOGETHER = 1 << 22
+#: What a byte can be inflated to.
+_INFLATED = 1032
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 _DEPTHS = {0: (1, 2, 4, 8, 16), 2: (8, 16), 3: (1, 2, 4, 8), 4: (8, 16), 6: (8, 16)}
@@ -92,6 +95,9 @@ class Raw:
             if w > 0 and h > 0:
                 self.passes.append((x, y, dx, dy, w, h, -(-w * self.channels * self.depth // 8)))
         size = sum(h * (1 + row) for *_, h, row in self.passes)
+        # deflate makes at most 1,032 bytes of one, so a header that claims more is false, whatever memory there is
+        if max(self.width, self.height) >= 1 << 31 or size > _INFLATED * sum(map(len, parts)):
+            raise Damaged("header claims more than the image data can hold")
         d = zlib.decompressobj()
         try:
             self.data = d.decompress(b"".join(parts), size + 1)
@@ -164,8 +170,8 @@ def decode(pngs: list[bytes | None]) -> list[np.ndarray | str | None]:
         try:
             raws[i] = raw = Raw(png)
             found = list(raw.filtered())
-        except Damaged as e:
-            out[i] = str(e)
+        except (Damaged, MemoryError, OverflowError) as e:
+            out[i] = str(e) or "too large for this machine's memory"
             raws.pop(i, None)
             continue
         rows[i] = [None] * len(found)
@@ -201,6 +207,7 @@ def encode(pixels: np.ndarray) -> bytes:
     return _SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes(), 6)) + chunk(b"IEND", b"")
 
 
+@lru_cache(64)
 def _averaging(n: int) -> np.ndarray:
     """(SIDE, n): each row averages one of SIDE equal stretches of n pixels."""
     edge = np.linspace(0, n, SIDE + 1)
@@ -248,8 +255,9 @@ def _hashed(column: int, names: list[str]):
 def image_hashes(media: DataFrame, column: str = "png") -> DataFrame:
     """Adds width, height, phash (8 bytes) and image_error to rows with a PNG in a binary column.
 
-    A null image has nulls; a damaged one, empty bytes included, has an image_error and nulls. Images of any size are
-    decoded whole. Input columns of the added names are replaced, others pass through; repeated rows each get theirs.
+    A null image has nulls; a damaged one, empty bytes included, has an image_error and nulls, and so has one whose
+    header claims more than its data can hold. Images of any size are decoded whole. A colour that is to be transparent
+    (tRNS) isn't looked at. Equal frequencies give no set bit. Input columns of the added names are replaced, others pass through; repeated rows each get theirs.
     An empty table gives an empty table.
     """
     own = [("width", T.IntegerType()), ("height", T.IntegerType()), ("phash", T.BinaryType()), ("image_error", T.StringType())]
@@ -258,6 +266,17 @@ def image_hashes(media: DataFrame, column: str = "png") -> DataFrame:
     return media.mapInArrow(_hashed(media.columns.index(column), [f.name for f in schema.fields]), schema)
 
 
+@lru_cache(64)
+def _stretching(side: int) -> np.ndarray:
+    """(SIDE, side): weights of linear interpolation."""
+    at = np.clip((np.arange(SIDE) + 0.5) * side / SIDE - 0.5, 0, side - 1)
+    lo = np.minimum(at.astype(int), max(side - 2, 0))
+    mix = np.zeros((SIDE, side))
+    mix[np.arange(SIDE), lo] = 1 - (at - lo)
+    mix[np.arange(SIDE), np.minimum(lo + 1, side - 1)] += at - lo
+    return mix
+
+
 def _rendered(column: int, names: list[str]):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,11 +289,7 @@ def _rendered(column: int, names: list[str]):
                 side = int(np.ceil(np.sqrt(len(v))))
                 x = np.zeros(side * side)
                 x[: len(v)] = np.nan_to_num(np.array([0.0 if y is None else y for y in v], np.float64), posinf=1, neginf=-1)
-                at = np.clip((np.arange(SIDE) + 0.5) * side / SIDE - 0.5, 0, side - 1)
-                lo = np.minimum(at.astype(int), max(side - 2, 0))
-                mix = np.zeros((SIDE, side))
-                mix[np.arange(SIDE), lo] = 1 - (at - lo)
-                mix[np.arange(SIDE), np.minimum(lo + 1, side - 1)] += at - lo
+                mix = _stretching(side)
                 out.append(encode(np.clip(np.round(128 + 400 * (mix @ x.reshape(side, side) @ mix.T)), 0, 255).astype(np.uint8)[:, :, None]))
             yield pa.RecordBatch.from_arrays([*[c for k, c in enumerate(batch.columns) if k != column], pa.array(out, pa.binary())], names=names)
 
@@ -282,7 +297,11 @@ def _rendered(column: int, names: list[str]):
 
 
 def rendered(vectors: DataFrame, column: str = "embedding") -> DataFrame:
-    """Replaces an array column by png: its numbers as a square grey picture of 32 x 32 pixels. Null and empty arrays give null."""
+    """Replaces an array column by png: its numbers as a square grey picture of 32 x 32 pixels. Null and empty arrays give null.
+
+    Null, infinite and missing numbers count as 0, 1 or -1. Rows aren't joined or compared, so repeated rows each get the same
+    picture; an array of any length is drawn. An input column png is replaced, others pass through. An empty table gives an empty table.
+    """
     vectors = vectors.drop("png")
     rest = [f for f in vectors.schema.fields if f.name != column]
     return vectors.mapInArrow(_rendered(vectors.columns.index(column), [*[f.name for f in rest], "png"]), T.StructType([*rest, T.StructField("png", T.BinaryType())]))

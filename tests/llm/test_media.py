@@ -81,3 +81,12 @@ def test_tables(spark):
     assert pair.select(distance("a", "b")).first()[0] == bits(got[1].phash, got[2].phash)
     assert image_hashes(spark.createDataFrame([], "png binary")).count() == 0
     assert image_hashes(spark.createDataFrame([(bytearray(b""),)], "png binary")).first().image_error
+
+
+def test_headers_that_claim_too_much(spark):
+    huge = [png(w, h, depth, 6, b"\0" * 50) for w, h, depth in ((2**31 - 1, 2**31 - 1, 16), (2**32 - 1, 1, 8), (1, 2**32 - 1, 8), (100_000, 100_000, 8))]
+    rows = [(k, bytearray(x)) for k, x in enumerate([*huge, encode(np.zeros((4, 4, 1), np.uint8))])]
+    got = [r.image_error for r in image_hashes(spark.createDataFrame(rows, "id long, png binary")).orderBy("id").collect()]
+    assert all(x and "claims more" in x for x in got[:4]) and got[4] is None
+    flat = np.full((2000, 3000, 1), 7, np.uint8)  # what compresses best is still read
+    assert np.array_equal(decode([encode(flat)])[0], flat)
