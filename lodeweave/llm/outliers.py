@@ -3,7 +3,9 @@
 Statistics of a text (letters in a word and their spread, symbols, capitals, distinct words, length) are transformed
 so that clean texts of a group scatter about one centre. Concentration steps find the centre and scatter of the
 ``SHARE`` of the group's texts that lie closest together, so that bad texts, however many short of a quarter, don't
-shape the measure that they are held against. A text is rejected if its Mahalanobis distance, given its length,
+shape the measure that they are held against. They begin at four estimates for each group: quartiles, correlations
+of squashed values, correlations of directions, and plain moments. After ``TRIED`` steps from each, the one whose
+scatter has the least determinant goes on. A text is rejected if its Mahalanobis distance, given its length,
 is beyond a quantile of the chi-squared distribution. Length itself is never a reason.
 
 Every step is an aggregation over all texts of all groups: a concentration step sums moments by group and by bins of
@@ -29,6 +31,8 @@ from lodeweave.llm.common import written
 
 #: Texts of a group that the estimates are taken from; concentration steps; the quantile beyond which texts are rejected.
 SHARE, STEPS, QUANTILE = 0.75, 8, 0.9999
+#: Of the concentration steps, those that are taken from every start.
+TRIED = 2
 #: Groups with fewer texts are estimated together, those of a language first; if they are still fewer, they are accepted,
 #: or judged by all other groups' pooled estimates, the scatter widened by so much.
 MIN_ROWS, WIDENED = 100, 2.0
@@ -140,13 +144,13 @@ def features() -> list[Column]:
     return [x.alias(f"x{k}") for k, x in enumerate(out)]
 
 
+def _away(i: int) -> str:
+    return f"(x{i} - get(m, {i}))"
+
+
 def _quadratic() -> Column:
-    """(x - m)' P (x - m) from the columns x, m and p."""
-    e = [F.col(f"x{i}") - F.get("m", F.lit(i)) for i in range(_D)]
-    total = F.lit(0.0)
-    for k, (i, j) in enumerate(_PAIRS):
-        total = total + F.get("p", F.lit(k)) * e[i] * e[j] * (1 if i == j else 2)
-    return F.greatest(total, F.lit(0.0))
+    """(x - m)' P (x - m) from the columns x, m and p; SQL, as a call for each operator would take the driver longer than Spark the step."""
+    return F.expr("greatest(0D, " + " + ".join(f"{1 if i == j else 2}D * get(p, {k}) * {_away(i)} * {_away(j)}" for k, (i, j) in enumerate(_PAIRS)) + ")")
 
 
 def chi2_cdf(x: float, k: int) -> float:
@@ -176,14 +180,18 @@ def consistency(share: float) -> float:
     return share / chi2_cdf(chi2_quantile(share, _D), _D + 2)
 
 
-def _parameters(mean: np.ndarray, cov: np.ndarray) -> tuple[list[float], list[float], float]:
-    """Centre, precision with the floors added to the scatter, and the variance of the length."""
+def _parameters(mean: np.ndarray, cov: np.ndarray) -> tuple[list[float], list[float], float, float]:
+    """Centre, precision with the floors added to the scatter, the variance of the length, and the logarithm of the scatter's determinant."""
     cov = cov + np.diag(np.square(FLOORS)) + np.eye(_D) * 1e-6
     inverse = np.linalg.inv(cov)
-    return mean.tolist(), [float(inverse[i, j]) for i, j in _PAIRS], float(cov[-1, -1])
+    return mean.tolist(), [float(inverse[i, j]) for i, j in _PAIRS], float(cov[-1, -1]), float(np.linalg.slogdet(cov)[1])
 
 
-_SCHEMA = "grp string, m array<double>, p array<double>, v double"
+_ESTIMATE = "m array<double>, p array<double>, v double, det double"
+#: s is the number of the start.
+_SCHEMA = f"grp string, s int, {_ESTIMATE}"
+_COLUMNS = ["grp", "s", "m", "p", "v", "det"]
+_SUMS = [f"s{k}" for k in range(_D + len(_PAIRS))]
 
 
 def _first(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,44 +200,92 @@ def _first(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for g, *q in pdf.itertuples(index=False):
             q = np.array([np.asarray(x, np.float64) for x in q])
-            rows.append((g, *_parameters(q[:, 1], np.diag(((q[:, 2] - q[:, 0]) / 1.349 + 0.02) ** 2))))
-        yield pd.DataFrame(rows, columns=["grp", "m", "p", "v"])
+            sd = (q[:, 2] - q[:, 0]) / 1.349 + 0.02
+            rows.append((g, 0, *_parameters(q[:, 1], np.diag(sd**2)), sd.tolist()))
+        yield pd.DataFrame(rows, columns=[*_COLUMNS, "sd"])
+
+
+def _covariance(n: float, one: list[float], two: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scatter from sums and sums of products."""
+    mean, cov = np.asarray(one) / n, np.zeros((_D, _D))
+    for (i, j), x in zip(_PAIRS, two):
+        cov[i, j] = cov[j, i] = x / n - mean[i] * mean[j]
+    return mean, cov
+
+
+def _others(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The starts 1 and 2, which keep the medians and ranges and take only the correlations from sums, and 3, which takes all."""
+    for pdf in pdfs:
+        rows = []
+        for g, s, m, sd, n, one, two in pdf[["grp", "s", "m", "sd", "n", "one", "two"]].itertuples(index=False):
+            m, sd = np.asarray(m), np.asarray(sd)
+            mean, cov = _covariance(n, one if s == 3 else [0.0] * _D, two)
+            if s == 3:
+                rows.append((g, s, *_parameters(m + sd * mean, cov * np.outer(sd, sd))))
+                continue
+            by = np.sqrt(np.diag(cov))
+            like = np.divide(cov, np.outer(by, by), out=np.zeros_like(cov), where=np.outer(by, by) > 0)
+            np.fill_diagonal(like, 1.0)
+            rows.append((g, s, *_parameters(m, like * np.outer(sd, sd))))
+        yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
 def _next(factor: float):
     def f(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
             rows = []
-            for g, m, n, one, two in pdf[["grp", "m", "n", "one", "two"]].itertuples(index=False):
-                shift = np.asarray(one) / n
-                cov = np.zeros((_D, _D))
-                for (i, j), s in zip(_PAIRS, two):
-                    cov[i, j] = cov[j, i] = s / n - shift[i] * shift[j]
-                rows.append((g, *_parameters(np.asarray(m) + shift, cov * factor)))
-            yield pd.DataFrame(rows, columns=["grp", "m", "p", "v"])
+            for g, s, m, n, one, two in pdf[["grp", "s", "m", "n", "one", "two"]].itertuples(index=False):
+                shift, cov = _covariance(n, one, two)
+                rows.append((g, s, *_parameters(np.asarray(m) + shift, cov * factor)))
+            yield pd.DataFrame(rows, columns=_COLUMNS)
 
     return f
 
 
+def _moment_sums(e: list[str]) -> list[Column]:
+    return [F.expr(f"sum({x}) as {c}") for x, c in zip([*e, *[f"{e[i]} * {e[j]}" for i, j in _PAIRS]], _SUMS)]
+
+
+def _arrays() -> list[Column]:
+    return [F.expr(f"array({', '.join(_SUMS[:_D])}) as one"), F.expr(f"array({', '.join(_SUMS[_D:])}) as two")]
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """Four estimates for each group, in two passes."""
+    quartiles = rows.groupBy("grp").agg(*[F.percentile_approx(f"x{k}", [0.25, 0.5, 0.75], 1000).alias(f"q{k}") for k in range(_D)])
+    first = written(quartiles.mapInPandas(_first, f"{_SCHEMA}, sd array<double>"), "quality-first")
+    df = rows.join(first.select("grp", "m", "sd"), "grp").selectExpr("grp", *[f"{_away(i)} / get(sd, {i}) as z{i}" for i in range(_D)])
+    df = df.selectExpr("*", f"greatest(sqrt({' + '.join(f'z{i} * z{i}' for i in range(_D))}), 1e-9D) as away")
+    each = [f"struct({s} as s, {', '.join(f'{f.format(i)} as y{i}' for i in range(_D))})" for s, f in ((1, "tanh(z{})"), (2, "z{} / away"), (3, "z{}"))]
+    df = df.selectExpr("grp", f"inline(array({', '.join(each)}))")
+    sums = df.groupBy("grp", "s").agg(F.count("*").cast("double").alias("n"), *_moment_sums([f"y{i}" for i in range(_D)]))
+    others = sums.select("grp", "s", "n", *_arrays()).join(first.select("grp", "m", "sd"), "grp").mapInPandas(_others, _SCHEMA)
+    return written(first.select(*_COLUMNS).unionByName(others), "quality-starts")
+
+
+def least(params: DataFrame) -> DataFrame:
+    """Of each group's estimates the one of the least determinant, of equal ones that of the first start."""
+    best = params.groupBy("grp").agg(F.min_by(F.struct(*_COLUMNS[1:]), F.struct("det", "s")).alias("b"))
+    return written(best.select("grp", "b.*"), "quality-least")
+
+
 def _concentrated(rows: DataFrame, params: DataFrame, share: float | None) -> DataFrame:
     """One step: estimates from the nearest share, or, without one, from all within the 97.5 % ellipsoid."""
-    df = rows.join(params.drop("v"), "grp").withColumn("d", _quadratic())
-    e = [F.col(f"x{i}") - F.get("m", F.lit(i)) for i in range(_D)]
-    sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(e)] + [F.sum(e[i] * e[j]).alias(f"s{_D + k}") for k, (i, j) in enumerate(_PAIRS)]
+    df = rows.join(params.drop("v", "det"), "grp").withColumn("d", _quadratic())
+    sums = _moment_sums([_away(i) for i in range(_D)])
     if share is None:
         df = df.where(F.col("d") <= chi2_quantile(0.975, _D))
-        part = df.groupBy("grp").agg(F.count("*").cast("double").alias("n"), *sums)
+        part = df.groupBy("grp", "s").agg(F.count("*").cast("double").alias("n"), *sums)
         taken = part.withColumn("take", F.lit(1.0))
         factor = 0.975 / chi2_cdf(chi2_quantile(0.975, _D), _D + 2)
     else:
-        part = df.groupBy("grp", F.floor(F.log(F.col("d") + 1e-9) * _BINS).alias("bin")).agg(F.count("*").cast("double").alias("n"), *sums)
-        before = F.coalesce(F.sum("n").over(W.partitionBy("grp").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-        all_ = F.sum("n").over(W.partitionBy("grp"))
+        part = df.groupBy("grp", "s", F.floor(F.log(F.col("d") + 1e-9) * _BINS).alias("bin")).agg(F.count("*").cast("double").alias("n"), *sums)
+        before = F.coalesce(F.sum("n").over(W.partitionBy("grp", "s").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+        all_ = F.sum("n").over(W.partitionBy("grp", "s"))
         taken = part.withColumn("take", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (share * all_ - before) / F.col("n"))))
         factor = consistency(share)
-    total = taken.groupBy("grp").agg(F.sum(F.col("take") * F.col("n")).alias("n"), *[F.sum(F.col("take") * F.col(f"s{k}")).alias(f"s{k}") for k in range(_D + len(_PAIRS))])
-    total = total.select("grp", "n", F.array(*[f"s{k}" for k in range(_D)]).alias("one"), F.array(*[f"s{_D + k}" for k in range(len(_PAIRS))]).alias("two"))
-    return written(total.join(params.select("grp", "m"), "grp").mapInPandas(_next(factor), _SCHEMA), "quality-step")
+    total = taken.groupBy("grp", "s").agg(*[F.expr(f"sum(take * {c}) as {c}") for c in ["n", *_SUMS]])
+    return written(total.select("grp", "s", "n", *_arrays()).join(params.select("grp", "s", "m"), ["grp", "s"]).mapInPandas(_next(factor), _SCHEMA), "quality-step")
 
 
 def _moments(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,29 +298,34 @@ def _moments(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 inverse[i, j] = inverse[j, i] = x
             two = np.linalg.inv(inverse) - np.diag(np.square(FLOORS)) + np.outer(m, m)
             rows.append((float(n), *(n * np.asarray(m)), *(n * two[i, j] for i, j in _PAIRS)))
-        yield pd.DataFrame(rows, columns=["n", *[f"s{k}" for k in range(_D + len(_PAIRS))]])
+        yield pd.DataFrame(rows, columns=["n", *_SUMS])
 
 
 def _pooled(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in pdfs:
         rows = []
-        for n, *sums in pdf[["n", *[f"s{k}" for k in range(_D + len(_PAIRS))]]].itertuples(index=False):
-            mean, cov = np.asarray(sums[:_D]) / n, np.zeros((_D, _D))
-            for (i, j), s in zip(_PAIRS, sums[_D:]):
-                cov[i, j] = cov[j, i] = s / n - mean[i] * mean[j]
-            rows.append(("rest", *_parameters(mean, cov * WIDENED)))
-        yield pd.DataFrame(rows, columns=["grp", "m", "p", "v"])
+        for n, *sums in pdf[["n", *_SUMS]].itertuples(index=False):
+            mean, cov = _covariance(n, sums[:_D], sums[_D:])
+            rows.append(("rest", 0, *_parameters(mean, cov * WIDENED)))
+        yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
 def with_fallback(params: DataFrame) -> DataFrame:
     """Adds estimates for the rest, if it has none: the groups' pooled, their scatter and that between their centres together."""
-    columns = [f"s{k}" for k in range(_D + len(_PAIRS))]
-    sums = params.mapInPandas(_moments, ", ".join(f"{c} double" for c in ["n", *columns])).agg(*[F.sum(c).alias(c) for c in ["n", *columns]]).where("n > 0")
+    sums = params.mapInPandas(_moments, ", ".join(f"{c} double" for c in ["n", *_SUMS])).agg(*[F.sum(c).alias(c) for c in ["n", *_SUMS]]).where("n > 0")
     totals = params.agg(*[F.sum(c).alias(c) for c in ["t_rows", *[f"t_{s}" for s in _STATS]]])
     rest = sums.mapInPandas(_pooled, _SCHEMA).crossJoin(totals)
     return params.unionByName(rest.join(params.where("grp = 'rest'").select("grp"), "grp", "left_anti"))
 
 
+def concentrated(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
+    """The estimates of each group after all steps, from (grp, x0, x1, ...)."""
+    params = starts(rows)
+    for k in range(steps):
+        params = _concentrated(rows, least(params) if k == min(TRIED, steps - 1) else params, share)
+    return params
+
+
 def estimates(stats: DataFrame, share: float = SHARE, steps: int = STEPS, min_rows: int = MIN_ROWS) -> tuple[DataFrame, DataFrame]:
     """(key, grp), and the centre and precision of each group with at least ``min_rows`` texts, and its totals."""
     of = written(groups(stats, min_rows), "quality-groups")
@@ -272,10 +333,7 @@ def estimates(stats: DataFrame, share: float = SHARE, steps: int = STEPS, min_ro
     totals = rows.groupBy("grp").agg(F.count("*").alias("t_rows"), *[F.sum(c).alias(f"t_{s}") for c, s in zip(_OWN, _STATS)]).where(F.col("t_rows") >= min_rows)
     totals = written(totals, "quality-totals")
     rows = written(rows.select("grp", *_OWN).join(totals, "grp").select("grp", *features()), "quality-features")
-    quartiles = rows.groupBy("grp").agg(*[F.percentile_approx(f"x{k}", [0.25, 0.5, 0.75], 1000).alias(f"q{k}") for k in range(_D)])
-    params = written(quartiles.mapInPandas(_first, _SCHEMA), "quality-first")
-    for _ in range(steps):
-        params = _concentrated(rows, params, share)
+    params = concentrated(rows, share, steps)
     return of, _concentrated(rows, params, None).join(totals, "grp")
 
 
@@ -298,7 +356,7 @@ def outliers(docs: DataFrame, quantile: float = QUANTILE, every: bool = False) -
 
     A null text and one without words have no distance and are rejected. Null lang and source are values like
     others. In groups that are too small for estimates even together, nothing is rejected and there is no
-    distance; with ``every``, they are judged by the other groups' estimates, and only in a table that has no group
+    distance; equal statistics, at a bin's edge too, get the same; a text of any length is counted whole; with ``every``, they are judged by the other groups' estimates, and only in a table that has no group
     of ``MIN_ROWS`` texts, however put together, is nothing rejected. Repeated rows each get the same. An empty table gives no rows. Extra columns are ignored.
     """
     stats = written(counted(docs.select("doc_id", "lang", "source", "text"), text=False), "quality-counts")
