@@ -55,3 +55,13 @@ def test_hot_lines_and_copies_stay_out_of_the_suffix_array(spark):
     assert own.count() <= 8 and copied.count() == 99
     got = {r.doc_id: (r.text, r.lines_deleted) for r in line_dedup(docs).collect()}
     assert got == brute(rows, 50) and sum(n > 0 for _, n in got.values()) == 99
+
+
+def test_masks_are_worked_out_once(spark):
+    from lodeweave.llm.line_dedup import deletion_masks
+
+    text = "\n".join(" ".join(f"w{i}x{k}" for k in range(20)) for i in range(4))
+    df = deletion_masks(spark.createDataFrame([(1, text), (2, text), (3, "other")], "doc_id long, text string"))
+    # two of them in a row take two Python workers at a time for each task
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r.id, r.mask) for r in df.collect()] == [(2, [True] * 4)]
