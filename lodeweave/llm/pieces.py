@@ -291,6 +291,7 @@ def _coded(path: str, column: int, names: list[str]):
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
+        before, own, same = None, b"", None
         for batch in batches:
             for k in range(0, batch.num_rows, _SLICE):
                 part = batch.slice(k, _SLICE)
@@ -298,10 +299,17 @@ def _coded(path: str, column: int, names: list[str]):
                 for text in part.column(column):
                     text = text.as_py()
                     missing.append(text is None)
-                    own = b"" if text is None else model.encoded(text)
+                    if text is None:
+                        ids.append(b"")
+                        ends.append(ends[-1])
+                        back.append(None)
+                        continue
+                    if text != before:  # a mixture has a document's copies one after another
+                        own = model.encoded(text)
+                        before, same = text, model.decoded(np.frombuffer(own, np.int32).tolist()) == text
                     ids.append(own)
                     ends.append(ends[-1] + len(own) // 4)
-                    back.append(None if text is None else model.decoded(np.frombuffer(own, np.int32).tolist()) == text)
+                    back.append(same)
                 values = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array(missing))
                 n = pa.array([None if m else b - a for m, a, b in zip(missing, ends, ends[1:])], pa.int32())

@@ -38,3 +38,18 @@ def test_tables(spark):
     assert got == [(1, None, None, None), (None, 2, 2, True), (2, [], 0, True), (3, got[3][1], got[3][1], False), (4, n, n, True), (4, n, n, True)]
     assert [r.decoded for r in decode(df, FILE).collect()] == [None, "a b", "", "x  y", long, long]
     assert encode(spark.createDataFrame([], "doc_id long, text string"), FILE).count() == 0
+
+
+def test_copies_side_by_side_are_encoded_once(monkeypatch):
+    import pyarrow as pa
+
+    from lodeweave.llm.pieces import PieceModel, _coded
+
+    rows = ["", "", "a b", "a b", None, "a b", "c", "a b", "x ▁y", "x ▁y", None, None, "x ▁y"] + ["again"] * 300
+    theirs, seen, plain = sentencepiece.SentencePieceProcessor(model_file=FILE), [], PieceModel.encoded
+    monkeypatch.setattr(PieceModel, "encoded", lambda self, t: (seen.append(t), plain(self, t))[1])
+    batches = [pa.record_batch([pa.array(rows[a:b], pa.string())], names=["text"]) for a, b in ((0, 4), (4, 200), (200, len(rows)))]
+    got = [r for b in _coded(FILE, 0, ["text", "token_ids", "n_tokens", "round_trip"])(iter(batches)) for r in b.to_pylist()]
+    assert [(r["text"], r["token_ids"], r["round_trip"]) for r in got] == [(t, None if t is None else theirs.encode(t), None if t is None else "▁" not in t) for t in rows]
+    assert [r["n_tokens"] for r in got] == [None if t is None else len(theirs.encode(t)) for t in rows]
+    assert seen == ["", "a b", "c", "a b", "x ▁y", "again"]
