@@ -1,16 +1,19 @@
 """Text normalisation, counts and predicates as column expressions.
 
 Everything runs in the JVM but Unicode composition and HTML entities, for which Spark has no builtin: these are an
-Arrow function that passes texts of plain ASCII without an ampersand on untouched. Word characters are spelled out
+Arrow function, which only gets the texts that they may change. Word characters are spelled out
 as letters, digits and underscore, since Java's own class differs from the usual Unicode one in its marks.
 """
 
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections.abc import Callable
+from html.entities import html5
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,30 +35,54 @@ LATIN_WORD = r"[A-Za-z]+(?:['’-][A-Za-z]+)?"
 _SPOKEN = r"[\s、。！？!?,.・「」『』（）()\[\]【】〈〉《》…―:：;；'\"“”‘’]"
 
 
+#: Characters that NFKC leaves as they are, whatever is beside them, but the ampersand: ASCII, most of Latin, Greek, Cyrillic, kana, Chinese, Hangul, some punctuation.
+STABLE = r"\x00-%'-\x7f¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-žΆΈ-ΊΌΎ-ΡΣ-ώЀ-҂Ҋ-ԯ–—‘-•€、。々「-』ぁ-ゖァ-ヺー㐀-䶿一-鿿가-힣"
+_UNSTABLE = rf"[^\x00-%'-\x7f](?<![{STABLE}])"  # the large class, which is slow, only after what isn't ASCII
+#: Characters that the Arrow function has as Python strings at a time, or one text if that is longer.
+PIECE = 1 << 20
+
+
 def _composed(text: str) -> str:
     return unicodedata.normalize("NFKC", html.unescape(text))
 
 
-def _composed_batch(text: pa.Array) -> pa.Array:
-    plain = pc.and_(pc.string_is_ascii(text), pc.invert(pc.match_substring(text, "&")))
-    if isinstance(text, pa.ChunkedArray):
-        text, plain = text.combine_chunks(), plain.combine_chunks()
-    if pc.all(pc.fill_null(plain, True)).as_py():
-        return text
-    values = [t if p or t is None else _composed(t) for t, p in zip(text.to_pylist(), plain.to_pylist())]
-    return pa.array(values, pa.string())
+def _terminated(text: str) -> str:
+    return unicodedata.normalize("NFKC", _ENTITY.sub(lambda m: html.unescape(m[0]) if m[1] or m[0][1:] in html5 else m[0], text))
+
+
+_ENTITY = re.compile(r"&(#)?[0-9A-Za-z]+;")
+
+
+def _in_pieces(f: Callable[[str], str], text: pa.Array) -> pa.Array:
+    """f of each text. Only a piece of the batch is there as Python strings at a time, so memory is that of the batch and its result."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())).to_numpy(zero_copy_only=False)
+    out, start = [], 0
+    while start < len(text):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PIECE, "right")))
+        out.append(pa.array([None if t is None else f(t) for t in text.slice(start, stop - start).to_pylist()], pa.string()))
+        start = stop
+    return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+
+def _arrow(f: Callable[[str], str]) -> Callable[[Column], Column]:
+    def batch(text: pa.Array) -> pa.Array:
+        return text if text.null_count == len(text) else _in_pieces(f, text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text)
+
+    return F.arrow_udf(batch, T.StringType()).asNondeterministic()
 
 
-_ONCE = F.arrow_udf(_composed_batch, T.StringType()).asNondeterministic()
+_ONCE, _ONCE_TERMINATED = _arrow(_composed), _arrow(_terminated)
 
 
-def composed(text: Column) -> Column:
-    """HTML entities decoded once, then NFKC; null for null.
+def composed(text: Column, terminated: bool = False) -> Column:
+    """HTML entities decoded once, then NFKC; null for null. With ``terminated``, only entities that end in a semicolon.
 
     It counts as non-deterministic, so that the optimiser neither copies it into each expression that uses its result nor
-    moves a filter on such an expression below it.
+    moves a filter on such an expression below it. Texts of stable characters alone stay in the JVM.
     """
-    return _ONCE(text)
+    once = _ONCE_TERMINATED if terminated else _ONCE
+    return F.coalesce(once(F.when(F.rlike(text, F.lit(_UNSTABLE)), text)), text)
 
 
 def without_controls(text: Column) -> Column:
@@ -68,9 +95,9 @@ def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-def normalized(text: Column) -> Column:
-    """Entities, NFKC, controls, white space. Null for null, empty for what holds nothing else."""
-    return collapsed(without_controls(composed(text)))
+def normalized(text: Column, terminated: bool = False) -> Column:
+    """Entities (with ``terminated`` only those that end in a semicolon), NFKC, controls, white space. Null for null, empty for what holds nothing else."""
+    return collapsed(without_controls(composed(text, terminated)))
 
 
 def normalized_plain(text: Column) -> Column:

@@ -4,6 +4,7 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,30 @@ def test_audio(spark, tmp_path):
     (tmp_path / "d" / "c.wav").write_bytes(b"no wav")
     files = spark.read.format("binaryFile").load(str(tmp_path / "d"))
     assert [round(r.seconds, 3) for r in audio.usable(files, 0.7, 30).collect()] == [1.0]
+
+
+def test_terminated_entities(spark):
+    t = ["und&amp", "&&amp;amp;&copy", "&lt;&quo;&am&#65;&#65 &ampx; ﬁ&amp", None]
+    got = spark.createDataFrame([(x,) for x in t], "t string").select(X.normalized(F.col("t"), terminated=True), X.normalized(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["und&amp", "&&amp;&copy", "<&quo;&amA&#65 &ampx; fi&amp", None]
+    assert [r[1] for r in got] == [x and plain_normal(x) for x in t]
+
+
+def test_stable_characters_need_no_python():
+    stable = [c for c in map(chr, range(0x110000)) if re.fullmatch(f"[{X.STABLE}]", c)]
+    assert "&" not in stable and len(stable) > 30_000
+    pairs = {chr(int(d.split()[1], 16)) for d in map(unicodedata.decomposition, map(chr, range(0x110000))) if len(d.split()) == 2 and d[0] != "<"}
+    assert not pairs & set(stable) and all(unicodedata.is_normalized("NFKC", c) and not unicodedata.combining(c) for c in stable)
+    whole = "".join(random.Random(5).sample(stable, len(stable)))
+    assert unicodedata.normalize("NFKC", html.unescape(whole)) == whole
+
+
+def test_a_piece_of_a_batch_at_a_time(monkeypatch):
+    monkeypatch.setattr(X, "PIECE", 10)
+    sizes = []
+    t = ["ab", None, "é" * 20, "", "cdefgh", "xyz", None]
+    concat = pa.concat_arrays
+    monkeypatch.setattr(pa, "concat_arrays", lambda parts: sizes.extend(len(p) for p in parts) or concat(parts))
+    assert X._in_pieces(str.upper, pa.array(t, pa.string())).to_pylist() == [x and x.upper() for x in t]
+    assert sizes == [2, 1, 4] and X._in_pieces(str.upper, pa.array(["z", *t], pa.string()).slice(1)).to_pylist() == [x and x.upper() for x in t]
+    assert X._in_pieces(str.upper, pa.array([], pa.string())).to_pylist() == []
