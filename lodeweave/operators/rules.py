@@ -33,16 +33,21 @@ def classified(pairs: DataFrame, profile: Profile = Profile(), left: str = "ja_r
     """Adds ja_norm, en_norm, reason (null for an accepted pair), ja_chars and en_words.
 
     Counts are 0 for pairs that one of the first five rules rejects. A null text counts as empty; a null corpus has
-    the general caps. Input columns of the added names are replaced.
+    the general caps. Input columns of the added names are replaced. Where left and right are one column, it is normalised
+    and tested once.
     """
-    p = profile
+    p, one = profile, left == right
     keep = [c for c in pairs.columns if c not in ("ja_norm", "en_norm", "reason", "ja_chars", "en_words")]
-    df = pairs.select(*keep, p.normalize(F.coalesce(left, F.lit(""))).alias("ja_norm"), p.normalize(F.coalesce(right, F.lit(""))).alias("en_norm"))
-    ja, en = F.col("ja_norm"), F.col("en_norm")
-    early = F.when((F.length(ja) == 0) | (F.length(en) == 0), "empty")
+    df = pairs.select(*keep, p.normalize(F.coalesce(left, F.lit(""))).alias("ja_norm"), *[] if one else [p.normalize(F.coalesce(right, F.lit(""))).alias("en_norm")])
+    ja, en = F.col("ja_norm"), F.col("ja_norm" if one else "en_norm")
+
+    def either(test: Callable[[Column], Column]) -> Column:
+        return test(ja) if one else test(ja) | test(en)
+
+    early = F.when(either(lambda t: F.length(t) == 0), "empty")
     for name, test in (("url_or_email", X.has_link), ("markup", X.has_markup), ("subtitle_cue", X.is_cue)):
-        early = early.when(test(ja) | test(en), name)
-    early = early.when(~X.has_content(ja) | ~X.has_content(en), "no_content")
+        early = early.when(either(test), name)
+    early = early.when(either(lambda t: ~X.has_content(t)), "no_content")
     # counts are columns of their own, so that each is worked out once, and only where it is needed
     df = df.select("*", early.alias("__early"))
     kept = F.col("__early").isNull()
@@ -61,12 +66,16 @@ def classified(pairs: DataFrame, profile: Profile = Profile(), left: str = "ja_r
     late = F.when((n < p.least[0]) | (w < p.least[1]), "too_short").when((n > cap(0)) | (w > cap(1)), "too_long")
     late = late.when(share(p.left_letters(ja), n) < p.left_share, p.names[0]).when(share(X.ascii_letters(en), X.letters(en)) < p.right_share, p.names[1])
     late = late.when(~share(n, w).between(*p.ratio), "length_ratio")
-    return df.select(*keep, "ja_norm", "en_norm", F.coalesce("__early", late).alias("reason"), "ja_chars", "en_words")
+    return df.select(*keep, "ja_norm", en.alias("en_norm"), F.coalesce("__early", late).alias("reason"), "ja_chars", "en_words")
 
 
 def histogram(rows: DataFrame, *by: str) -> DataFrame:
-    """(by..., reason, rows): how often each reason occurs; accepted pairs aren't counted."""
-    return rows.where("reason is not null").groupBy(*by, "reason").agg(F.count("*").alias("rows"))
+    """(by..., reason, rows): how often each reason occurs; accepted pairs aren't counted.
+
+    These are a group of null reason, which count() leaves at 0: a filter on the reason itself would be moved below the
+    projections that make it, with a copy of all rules and counts in it for each place where they are used.
+    """
+    return rows.groupBy(*by, "reason").agg(F.count("reason").alias("rows")).where("rows > 0")
 
 
 def gated(rows: DataFrame, dev: bool = True, test: bool = True) -> DataFrame:

@@ -172,8 +172,8 @@ _LINE_ROWS = f"""lines AS (SELECT source AS corpus, unnest(string_split(text, ch
 
 @query("reject_histogram", f"WITH {_LINE_ROWS} SELECT corpus, reason, count(*) AS rows FROM r WHERE reason IS NOT NULL GROUP BY ALL")
 def reject_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "documents").select("source", "text")).select(F.col("source").alias("corpus"), F.explode(F.split("text", "\n")).alias("ja_raw")).withColumn("en_raw", F.col("ja_raw"))
-    return rules.histogram(rules.classified(lines, LINES), "corpus")
+    lines = spread(table(spark, sf_dir, "documents").select("source", "text")).select(F.col("source").alias("corpus"), F.explode(F.split("text", "\n")).alias("line"))
+    return rules.histogram(rules.classified(lines, LINES, "line", "line"), "corpus")
 
 
 @query("markup_url_flags", f"SELECT page_id, regexp_matches(html, {_MARKUP}) AS markup, regexp_matches(html, {_LINK}) AS link FROM pages")

@@ -150,3 +150,14 @@ def test_texts_are_normalised_once_and_null_keys_are_spread(spark):
 
 
 JA_ONE = "駅に着いたら私に電話してください。"
+
+
+def test_histogram_judges_a_line_once(spark):
+    lines = [("a", "Music"), ("a", "&lt;b&gt; and more of it"), ("b", ""), ("b", None), (None, "Music"), ("a", "Music"), ("a", "One two three four five six seven.")]
+    rows = rules.classified(spark.createDataFrame(lines, "corpus string, line string"), left="line", right="line")
+    twice = rules.classified(spark.createDataFrame([(c, x, x) for c, x in lines], "corpus string, ja_raw string, en_raw string"))
+    names = ["ja_norm", "en_norm", "reason", "ja_chars", "en_words"]
+    assert rows.select(names).collect() == twice.select(names).collect()
+    got = rules.histogram(rows, "corpus")
+    assert {tuple(r) for r in got.collect()} == {("a", "subtitle_cue", 2), (None, "subtitle_cue", 1), ("a", "markup", 1), ("b", "empty", 2), ("a", "not_japanese", 1)}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("applause") == 1
