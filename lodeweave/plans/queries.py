@@ -158,7 +158,7 @@ def _entities(x: str) -> str:
 
 @query("nfkc_norm", f"SELECT page_id, {_norm(_entities('html'))} AS norm FROM pages")
 def nfkc_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", X.normalized(F.col("html")).alias("norm"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", X.normalized(F.col("html"), terminated=True).alias("norm"))
 
 
 @query("reject_reasons", f"WITH {_PAIRS}, r AS (SELECT *, {_reason(LATIN)} AS reason FROM counted) SELECT conv_id, turn, reason, CASE WHEN reason IN {_EARLY} THEN 0 ELSE n END AS ja_chars, CASE WHEN reason IN {_EARLY} THEN 0 ELSE w END AS en_words FROM r")
