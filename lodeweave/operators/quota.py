@@ -52,8 +52,9 @@ def selected(train: DataFrame, hours: dict[str, float], shares: dict[str, float]
     train = written(train, "quota-rows")  # it is read several times
     df = train.join(F.broadcast(goals), (F.col("corpus") == F.col("__c")) & (F.col("length_bin") == F.col("__b")), "left").drop("__c", "__b")
     first = until(df, ["corpus", "length_bin"], F.col("__bin_goal"), seconds).withColumnRenamed("taken", "__first")
-    got = first.groupBy("corpus").agg(F.coalesce(F.sum(F.when(F.col("__first"), F.col(seconds))), F.lit(0.0)).alias("__got")).withColumnRenamed("corpus", "__corpus")
-    both = first.join(got, F.col("corpus").eqNullSafe(F.col("__corpus"))).drop("__corpus")
+    # a row for each corpus of the configuration; as a join by shuffle it would bring all rows of a corpus, texts included, to one task
+    got = first.where("__goal is not null").groupBy("corpus").agg(F.coalesce(F.sum(F.when(F.col("__first"), F.col(seconds))), F.lit(0.0)).alias("__got")).withColumnRenamed("corpus", "__corpus")
+    both = first.join(F.broadcast(got), F.col("corpus") == F.col("__corpus"), "left").drop("__corpus")
     # hours and back, as the missing time is asked for in hours
     missing = (F.col("__goal") / 3600 - F.col("__got") / 3600) * 3600
     short = F.col("__got") < F.col("__goal")

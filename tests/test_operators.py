@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,3 +162,16 @@ def test_histogram_judges_a_line_once(spark):
     got = rules.histogram(rows, "corpus")
     assert {tuple(r) for r in got.collect()} == {("a", "subtitle_cue", 2), (None, "subtitle_cue", 1), ("a", "markup", 1), ("b", "empty", 2), ("a", "not_japanese", 1)}
     assert got._jdf.queryExecution().optimizedPlan().toString().count("applause") == 1
+
+
+def test_quota_joins_no_rows_by_corpus_alone(spark):
+    rows = spark.createDataFrame([(c, b, f"{k:064x}", 1.0 + k) for k, (c, b) in enumerate([("jesc", "short"), ("jesc", "long"), ("kftt", "short"), ("other", "short"), (None, "long"), ("jesc", None)])], "corpus string, length_bin string, priority string, estimated_ja_seconds double")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = quota.selected(rows, {"jesc": 1.0, "kftt": 0.0}, {"short": 0.5, "long": 0.5})
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert {(r.corpus, r.length_bin): r.selected for r in out.collect()} == {("jesc", "short"): True, ("jesc", "long"): True, ("kftt", "short"): False, ("other", "short"): False, (None, "long"): False, ("jesc", None): False}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "SortMergeJoin" in plan and not re.search(r"SortMergeJoin(\(skew=\w+\))? \[(coalesce\()?corpus#\d+(, \), isnull\(corpus#\d+\))?\]", plan)
